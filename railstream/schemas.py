@@ -26,15 +26,15 @@ _ENTITY = T.StructType([
         T.StructField("trip", _TRIP),
         T.StructField("stop_id", T.StringType()),
         T.StructField("current_status", T.StringType()),
-        T.StructField("current_stop_sequence", T.LongType()),
+        T.StructField("current_stop_sequence", T.StringType()),
         T.StructField("timestamp", T.StringType()),
     ])),
 ])
 
-# Feed message. 64-bit numbers come as JSON strings or numbers; STRING reads both.
+# Feed message. Numbers come as JSON strings or numbers; STRING reads both.
 FEED_MESSAGE = T.StructType([
     T.StructField("unique_event_id", T.StringType()),
-    T.StructField("event_timestamp_unix", T.LongType()),
+    T.StructField("event_timestamp_unix", T.StringType()),
     T.StructField("header", T.StructType([T.StructField("timestamp", T.StringType())])),
     T.StructField("entity", T.ArrayType(_ENTITY)),
 ])
