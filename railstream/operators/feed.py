@@ -56,20 +56,20 @@ def parse_messages(
     if on_bad not in ("reject", "fail"):
         raise ValueError("on_bad must be 'reject' or 'fail'")
     raw = F.col(payload).cast("string")
+    fields = list(schemas.FEED_MESSAGE.fields)
     if on_bad == "fail":
-        parsed = df.withColumn("_m", F.from_json(raw, schemas.FEED_MESSAGE, {"mode": "FAILFAST"}))
+        parsed = F.from_json(raw, schemas.FEED_MESSAGE, {"mode": "FAILFAST"})
     else:
-        schema = T.StructType([*schemas.FEED_MESSAGE.fields, T.StructField(_BAD, T.StringType())])
-        parsed = df.withColumn("_m", F.from_json(
-            raw, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}))
-    fields = ["unique_event_id", "event_timestamp_unix", "header", "entity"]
-    if on_bad == "reject":
-        fields.append(_BAD)
-    kept = [c for c in df.columns if c not in fields]
-    return (parsed.select(*kept, *[F.col(f"_m.{f}").alias(f) for f in fields])
-                  .withColumn("event_timestamp_unix",
-                              F.col("event_timestamp_unix").try_cast("bigint"))
-                  .withColumn("processing_time", F.current_timestamp()))
+        fields.append(T.StructField(_BAD, T.StringType()))
+        parsed = F.from_json(raw, T.StructType(fields), {
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
+    kept = [c for c in df.columns if c not in {f.name for f in fields}]
+    # Generated as a one-element array: filters on the result then do not parse once more.
+    unix = F.col("event_timestamp_unix").try_cast("bigint").alias("event_timestamp_unix")
+    return (df.select(*kept, F.inline(F.array(parsed)))
+              .select(*kept, *[unix if f.name == "event_timestamp_unix" else f.name
+                               for f in fields],
+                      F.current_timestamp().alias("processing_time")))
 
 
 def good_messages(parsed: DataFrame) -> DataFrame:

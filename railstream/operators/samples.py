@@ -69,59 +69,59 @@ def prepare_stop_times(
         (F.col("route_id") == route_id) & (F.col("direction") == direction)
         & F.col("arrival_time").isNotNull()
         & F.col("stop_lat").isNotNull() & F.col("stop_lon").isNotNull()).select(*names)
-    # NULL trips are numbered as one trip; two non-null columns stand for the key in joins.
+    # NULL trips are numbered as one trip. The slice keys are never NULL, so that joins on
+    # them add no filter to one branch and the counted rows are shuffled only once.
     trip = ["_trip", "_no_trip"]
-    counted = (wanted.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-                     .withColumn("_trip", F.coalesce("trip_uid", F.lit("")))
-                     .withColumn("_no_trip", F.col("trip_uid").isNull())
-                     .withColumn(SLICE, F.floor(F.unix_seconds("arrival_time") / F.lit(slice_s))))
+    keys = [F.coalesce("trip_uid", F.lit("")).alias("_trip"),
+            F.col("trip_uid").isNull().alias("_no_trip"),
+            F.coalesce(F.floor(F.unix_seconds("arrival_time") / F.lit(slice_s)),
+                       F.lit(0).cast("bigint")).alias(SLICE)]
+    counted = wanted.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).select("*", *keys)
     by_trip = Window.partitionBy(*trip).orderBy(SLICE)
+    earlier = (Window.unboundedPreceding, -1)
     slices = (counted.groupBy(*trip, SLICE)
-                     .agg(F.sum("_n").alias("_rows"), F.max("arrival_time").alias("_last"),
-                          F.max("_n").alias("_most"))
-                     .withColumn("_before", F.coalesce(F.sum("_rows").over(
-                         by_trip.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                     .withColumn("_last_before", F.lag("_last").over(by_trip))
-                     .drop("_rows", "_last"))
+              .agg(F.sum("_n").alias("_rows"), F.max("arrival_time").alias("_last"),
+                   F.max("_n").alias("_most"))
+              .select(*trip, SLICE, "_most",
+                      F.sum("_rows").over(by_trip.rowsBetween(*earlier)).alias("_before"),
+                      F.lag("_last").over(by_trip).alias("_last_before")))
 
     rest = [n for n in names if n not in ("trip_uid", "arrival_time", "stop_id")]
     order = Window.partitionBy(*trip, SLICE).orderBy("arrival_time", "stop_id", *rest)
+    inside = F.sum("_n").over(order.rowsBetween(*earlier))
+    first = F.coalesce("_before", F.lit(0)) + F.coalesce(inside, F.lit(0)) + 1
+    previous = F.coalesce(F.lag("arrival_time").over(order), F.col("_last_before"))
 
     def numbered(part: DataFrame) -> DataFrame:
-        return (counted.join(part, [*trip, SLICE])
-                .withColumn("_first", F.col("_before") + F.lit(1) + F.coalesce(
-                    F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                .withColumn("_previous", F.coalesce(F.lag("arrival_time").over(order),
-                                                    F.col("_last_before"))))
+        return counted.join(part, [*trip, SLICE]).select(
+            *names, "_n", first.alias("_first"), previous.alias("_previous"))
 
     # Copies of one row become rows again. Very many are spread over tasks in blocks; slices
     # without such rows drop out of this branch before they are sorted.
     few = (numbered(slices).where(F.col("_n") <= _COPIES_PER_TASK)
-           .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1))))
-    block = F.col("_block") * _COPIES_PER_TASK
+           .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1))
+                   .alias("_copy")))
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / _COPIES_PER_TASK))
+    start = F.col("_block") * _COPIES_PER_TASK
+    stop = F.least(start + _COPIES_PER_TASK, F.col("_n")) - 1
     many = (numbered(slices.where(F.col("_most") > _COPIES_PER_TASK))
             .where(F.col("_n") > _COPIES_PER_TASK)
-            .withColumn("_block", F.explode(F.sequence(
-                F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / _COPIES_PER_TASK))))
-            .repartition(*trip, SLICE, "_first", "_block")
-            .withColumn("_copy", F.explode(F.sequence(
-                block, F.least(block + _COPIES_PER_TASK, F.col("_n")) - 1)))
-            .drop("_block"))
-
-    arrival = F.col("arrival_time")
-    previous = F.when(F.col("_copy") == 0, F.col("_previous")).otherwise(arrival)
+            .select("*", F.explode(blocks).alias("_block"))
+            .repartition("trip_uid", "_first", "_block")
+            .select("*", F.explode(F.sequence(start, stop)).alias("_copy")).drop("_block"))
+
+    arrival, local = F.col("arrival_time"), F.col("arrival_time_nyc")
+    before = F.when(F.col("_copy") == 0, F.col("_previous")).otherwise(arrival)
+    gap = temporal.whole_units("SECOND", arrival, before) / F.lit(60.0)
+    hour, day = F.hour(local), F.dayofweek(local)
     return (few.unionByName(many)
-            .withColumn("arrival_time_nyc", temporal.wall_clock(arrival, tz))
-            .withColumn("stop_sequence", F.col("_first") + F.col("_copy"))
-            .withColumn("minutes_since_prev_stop",
-                        temporal.whole_units("SECOND", arrival, previous) / F.lit(60.0))
-            .withColumn("hour_of_day", F.hour("arrival_time_nyc"))
-            .withColumn("day_of_week", F.dayofweek("arrival_time_nyc"))
-            .withColumn("trip_date", F.to_date("arrival_time_nyc"))
-            .withColumn("is_rush_hour", temporal.is_rush_hour(F.col("hour_of_day")))
-            .withColumn("is_weekend", temporal.is_weekend(F.col("day_of_week")))
-            .select(*names, "arrival_time_nyc", "stop_sequence", "minutes_since_prev_stop",
-                    "hour_of_day", "day_of_week", "trip_date", "is_rush_hour", "is_weekend"))
+            .select(*names, temporal.wall_clock(arrival, tz).alias("arrival_time_nyc"),
+                    (F.col("_first") + F.col("_copy")).alias("stop_sequence"),
+                    gap.alias("minutes_since_prev_stop"))
+            .select("*", hour.alias("hour_of_day"), day.alias("day_of_week"),
+                    F.to_date(local).alias("trip_date"),
+                    temporal.is_rush_hour(hour).alias("is_rush_hour"),
+                    temporal.is_weekend(day).alias("is_weekend")))
 
 
 def _target_columns() -> list[Column]:

@@ -26,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table in a single file, cut up for work that is heavy per row; others as they are."""
+    if len(df.inputFiles()) == 1:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df
+
+
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table as a streaming source; the pattern also fits a table in a single file."""
     schema = table(spark, sf_dir, name).schema
@@ -111,7 +118,7 @@ def messages(events: DataFrame) -> DataFrame:
         F.struct(F.concat(F.lit("t"), F.col("event_id")).alias("id"),
                  F.lit(None).cast(vehicle_type()).alias("vehicle"), update.alias("trip_update")))
     header = F.struct((F.floor(second / 30) * 30).cast("string").alias("timestamp"))
-    return events.select("event_id", F.to_json(F.struct(
+    return spread(events).select("event_id", F.to_json(F.struct(
         header.alias("header"), entity.alias("entity"),
         F.concat(F.lit("m"), F.col("event_id")).alias("unique_event_id"))).alias("value"))
 
@@ -135,7 +142,7 @@ def trip_messages(lineitem: DataFrame) -> DataFrame:
             F.expr("transform(sequence(1, l_linenumber), "
                    "i -> named_struct('stop_id', concat(l_suppkey, '-', i)))")
              .alias("stop_time_update")).alias("trip_update")))
-    return lineitem.select(F.to_json(F.struct(
+    return spread(lineitem).select(F.to_json(F.struct(
         F.struct(F.unix_seconds(instant("l_shipdate")).cast("string").alias("timestamp"))
          .alias("header"), entity.alias("entity"))).alias("value"))
 
@@ -242,7 +249,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def packed_days(events: DataFrame) -> DataFrame:
     """Events as ``.tar.xz`` archives (``path``, ``content``), one per day and batch of rows."""
-    return (events.select(F.date_format("ts", "yyyy-MM-dd").alias("day"),
+    return (spread(events).select(F.date_format("ts", "yyyy-MM-dd").alias("day"),
                           F.concat_ws(",", F.col("event_id").cast("string"), "event_type")
                            .alias("line"))
             .mapInArrow(_pack, "path string, content binary"))

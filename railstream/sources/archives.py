@@ -65,16 +65,15 @@ def _lines(path: str, content: bytes) -> Iterator[tuple]:
     try:
         # An archive counts only as a whole, so it is read to its end before any row is made.
         for archive, member in _members(content):
-            for _ in io.TextIOWrapper(archive.extractfile(member), encoding="utf-8", newline="\n"):
-                pass
+            for raw in archive.extractfile(member):
+                raw.decode("utf-8")
     except (tarfile.TarError, lzma.LZMAError, EOFError, OSError, ValueError) as problem:
         yield path, None, None, None, None, str(problem) or type(problem).__name__
         return
     for archive, member in _members(content):
         name = member.name.rsplit("/", 1)[-1]
-        text = io.TextIOWrapper(archive.extractfile(member), encoding="utf-8", newline="\n")
-        for number, line in enumerate(text, 1):
-            yield path, name, None, number, line.rstrip("\r\n"), None
+        for number, raw in enumerate(archive.extractfile(member), 1):
+            yield path, name, None, number, raw.decode("utf-8").rstrip("\r\n"), None
         yield path, name, member.size, None, None, None
     yield path, None, None, None, None, None
 
