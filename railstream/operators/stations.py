@@ -150,8 +150,12 @@ def headway(
     if service_date is not None:
         parts = weighed.select("stop_name", "total", "n", F.col("named").alias("trips"))
     else:
-        seen = arrivals.join(weighed.select("stop_name", "event_date", "trip_arrival_time"),
-                             ["stop_name", "event_date", "trip_arrival_time"], "left_semi")
+        # Null-safe keys: a plain join would filter both sides for nulls, each differently,
+        # and the arrivals would be computed twice instead of shared.
+        keys = ("stop_name", "event_date", "trip_arrival_time")
+        passing = weighed.select(*[F.col(c).alias(f"_{c}") for c in keys])
+        match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+        seen = arrivals.join(passing, match, "left_semi")
         count = F.approx_count_distinct if approximate_trips else F.count_distinct
         trips = seen.groupBy("stop_name").agg(count("trip_id").alias("trips"))
         # A union keeps one aggregation by station and needs no join.
