@@ -8,33 +8,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NEW_YORK = "America/New_York"
+from railstream.constants import LOCAL_ZONE
 
 # First and last epoch second of the years 1 to 9999.
 _FIRST_SECOND = -62135596800
 _LAST_SECOND = 253402300799
 
 
-def wall_clock(ts: Column, tz: str = NEW_YORK) -> Column:
+def wall_clock(ts: Column, tz: str = LOCAL_ZONE) -> Column:
     """Instant -> local date and time without a zone."""
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), ts.cast("timestamp_ntz"))
 
 
-def local_date(ts: Column, tz: str = NEW_YORK) -> Column:
+def local_date(ts: Column, tz: str = LOCAL_ZONE) -> Column:
     return F.to_date(wall_clock(ts, tz))
 
 
-def local_time(ts: Column, tz: str = NEW_YORK) -> Column:
+def local_time(ts: Column, tz: str = LOCAL_ZONE) -> Column:
     """Instant -> local time of day, as text ``HH:mm:ss.SSSSSS``."""
     return F.date_format(wall_clock(ts, tz), "HH:mm:ss.SSSSSS")
 
 
-def day_start(day: Column, tz: str = NEW_YORK) -> Column:
+def day_start(day: Column, tz: str = LOCAL_ZONE) -> Column:
     """Local date -> instant at which it begins."""
     return F.to_utc_timestamp(day.cast("timestamp"), tz)
 
 
-def on_local_day(ts: Column, day: str, tz: str = NEW_YORK) -> Column:
+def on_local_day(ts: Column, day: str, tz: str = LOCAL_ZONE) -> Column:
     """True for instants on the local date ``day`` (``YYYY-MM-DD``).
 
     A half-open range over the bare column, so that it reaches the Parquet scan; a
@@ -44,7 +44,7 @@ def on_local_day(ts: Column, day: str, tz: str = NEW_YORK) -> Column:
     return (ts >= day_start(first, tz)) & (ts < day_start(F.date_add(first, 1), tz))
 
 
-def repeated_seconds(day: Column, tz: str = NEW_YORK) -> Column:
+def repeated_seconds(day: Column, tz: str = LOCAL_ZONE) -> Column:
     """Seconds of wall clock that occur twice on a local date (0 on all but one day a year)."""
     length = F.unix_seconds(day_start(F.date_add(day, 1), tz)) - F.unix_seconds(day_start(day, tz))
     return F.greatest(length - F.lit(86400), F.lit(0))

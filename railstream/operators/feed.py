@@ -153,7 +153,8 @@ def enrich_with_stops(
     The id and its upper case share the upper-case form, so the lookup is grouped by that
     form (a handful of spellings each) and joined twice instead of four times. No broadcast
     is forced: Spark broadcasts a lookup below ``spark.sql.autoBroadcastJoinThreshold``
-    and otherwise uses a shuffled join, with hot stops split at run time.
+    and otherwise uses a shuffled join, with hot stops split at run time. Reports without a
+    key get a made-up one each, so that a shuffled join does not gather them in one task.
     """
     spellings = F.map_from_entries(F.collect_list(
         F.struct("stop_id", F.struct("stop_name", "stop_lat", "stop_lon"))))
@@ -165,17 +166,19 @@ def enrich_with_stops(
     key = text.strip(raw)
     known = raw.isNotNull() & (raw != "")
     stem = text.without_last(F.col("_key"))
+    nobody = F.concat(F.lit("\0"), F.xxhash64("entity_id", "trip_id", "vehicle_timestamp"))
     keyed = (reports.drop("stop_name", "stop_lat", "stop_lon", "direction")
                     .withColumn("_key", F.when(known, key))
                     .withColumn("_stem", F.when(text.ends_with_letter(F.col("_key")), stem))
-                    .withColumn("_upper", F.upper("_key"))
-                    .withColumn("_short_upper", F.upper("_stem")))
+                    .withColumn("_upper", F.coalesce(F.upper("_key"), nobody))
+                    .withColumn("_short_upper", F.coalesce(F.upper("_stem"), nobody)))
+    # The stop is taken by the true keys: a made-up one finds nothing, whatever it meets.
     found = (keyed.join(exact, "_upper", "left").join(short, "_short_upper", "left")
                   .withColumn("_stop", F.coalesce(
                       F.try_element_at("_exact", F.col("_key")),
-                      F.try_element_at("_exact", F.col("_upper")),
+                      F.try_element_at("_exact", F.upper("_key")),
                       F.try_element_at("_short", F.col("_stem")),
-                      F.try_element_at("_short", F.col("_short_upper")))))
+                      F.try_element_at("_short", F.upper("_stem")))))
     enriched = (found.withColumn("stop_name", F.col("_stop.stop_name"))
                      .withColumn("stop_lat", text.float_text(F.col("_stop.stop_lat")))
                      .withColumn("stop_lon", text.float_text(F.col("_stop.stop_lon")))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railstream import schemas
+from railstream import constants, schemas
+from railstream.constants import FEATURES
 from railstream.functions import temporal
 from railstream.functions.slices import HOME, SLICE, with_halo
 
@@ -17,18 +18,6 @@ _CONTEXT = ("stop_sequence", "stop_name", "stop_lat", "stop_lon", "arrival_time"
             "minutes_since_prev_stop", "hour_of_day", "day_of_week", "is_rush_hour",
             "is_weekend")
 
-# Numeric features of a context stop: short name -> attribute, in matrix order.
-FEATURES = {
-    "hour": "hour_of_day",
-    "day": "day_of_week",
-    "rush": "is_rush_hour",
-    "weekend": "is_weekend",
-    "minutes": "minutes_since_prev_stop",
-    "lat": "stop_lat",
-    "lon": "stop_lon",
-    "seq": "stop_sequence",
-}
-
 
 def build_raw_stop_times(
     sensor_data: DataFrame, trips: DataFrame, stops: DataFrame
@@ -50,9 +39,9 @@ def build_raw_stop_times(
 def prepare_stop_times(
     stop_times: DataFrame,
     *,
-    route_id: str = "E",
-    direction: str = "S",
-    tz: str = temporal.NEW_YORK,
+    route_id: str = constants.SAMPLE_ROUTE,
+    direction: str = constants.SAMPLE_DIRECTION,
+    tz: str = constants.LOCAL_ZONE,
     slice_s: int = 3600,
 ) -> DataFrame:
     """Number the stops of each trip by arrival and add gap and calendar features.
@@ -88,13 +77,16 @@ def prepare_stop_times(
 
     rest = [n for n in names if n not in ("trip_uid", "arrival_time", "stop_id")]
     order = Window.partitionBy(*trip, SLICE).orderBy("arrival_time", "stop_id", *rest)
-    inside = F.sum("_n").over(order.rowsBetween(*earlier))
-    first = F.coalesce("_before", F.lit(0)) + F.coalesce(inside, F.lit(0)) + 1
-    previous = F.coalesce(F.lag("arrival_time").over(order), F.col("_last_before"))
+    # The window comes before the join: its sort order serves both.
+    ordered = counted.select(
+        "*", F.sum("_n").over(order.rowsBetween(*earlier)).alias("_inside"),
+        F.lag("arrival_time").over(order).alias("_lag"))
+    first = F.coalesce("_before", F.lit(0)) + F.coalesce("_inside", F.lit(0)) + 1
 
     def numbered(part: DataFrame) -> DataFrame:
-        return counted.join(part, [*trip, SLICE]).select(
-            *names, "_n", first.alias("_first"), previous.alias("_previous"))
+        return ordered.join(part, [*trip, SLICE]).select(
+            *names, "_n", first.alias("_first"),
+            F.coalesce("_lag", "_last_before").alias("_previous"))
 
     # Copies of one row become rows again. Very many are spread over tasks in blocks; slices
     # without such rows drop out of this branch before they are sorted.
@@ -137,8 +129,8 @@ def _target_columns() -> list[Column]:
 def context_windows(
     prepared: DataFrame,
     *,
-    target_stop: str = "Lexington Av/53 St",
-    k: int = 5,
+    target_stop: str = constants.SAMPLE_TARGET_STOP,
+    k: int = constants.SAMPLE_CONTEXT_STOPS,
     method: str = "window",
     slice_rows: int = 1000,
 ) -> DataFrame:
@@ -182,7 +174,10 @@ def context_windows(
 
 
 def split_dates(
-    samples: DataFrame, *, train: float = 0.70, validation: float = 0.85
+    samples: DataFrame,
+    *,
+    train: float = constants.SPLIT_TRAIN_SHARE,
+    validation: float = constants.SPLIT_VALIDATION_SHARE,
 ) -> DataFrame:
     """One row: first and last date, days between, last training and validation date."""
     def after(share: float) -> Column:
@@ -261,7 +256,9 @@ def split_summary(samples: DataFrame, dates: DataFrame) -> DataFrame:
     return facts.select(F.inline(entries)).orderBy("ord")
 
 
-def read_split(samples: DataFrame, dates: DataFrame, split: str, *, k: int = 5) -> DataFrame:
+def read_split(
+    samples: DataFrame, dates: DataFrame, split: str, *, k: int = constants.SAMPLE_CONTEXT_STOPS
+) -> DataFrame:
     """Flat feature rows of one split, sorted by date and trip.
 
     The sort continues with the target's number, so that one large trip is spread over
@@ -279,7 +276,9 @@ def read_split(samples: DataFrame, dates: DataFrame, split: str, *, k: int = 5)
     return flatten_context(kept.orderBy("trip_date", "trip_uid", "target_sequence"), k=k)
 
 
-def flatten_context(samples: DataFrame, *, k: int = 5, keep: tuple[str, ...] = ()) -> DataFrame:
+def flatten_context(
+    samples: DataFrame, *, k: int = constants.SAMPLE_CONTEXT_STOPS, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Label and ``k`` x 8 columns ``ctx{i}_{feature}``; ``keep`` names further columns."""
     flat = [F.col("context_stops")[i][attribute].alias(f"ctx{i}_{name}")
             for i in range(k) for name, attribute in FEATURES.items()]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from railstream import constants
 from railstream.functions import temporal
 from railstream.functions.slices import HOME, SLICE, slice_width, with_halo
 
@@ -17,11 +18,11 @@ _MIN_SLICE_S = 1800
 def idle_time(
     positions: DataFrame,
     *,
-    max_gap_s: int = 300,
-    repeat_s: int = 60,
-    direction: str = "Southbound",
-    excluded: Sequence[str] = ("Broad Channel",),
-    tz: str = temporal.NEW_YORK,
+    max_gap_s: int = constants.IDLE_MAX_GAP_S,
+    repeat_s: int = constants.IDLE_REPEAT_S,
+    direction: str = constants.IDLE_DIRECTION,
+    excluded: Sequence[str] = constants.IDLE_EXCLUDED,
+    tz: str = constants.LOCAL_ZONE,
     compare: str = "local",
     carry: bool = False,
     order_by: str = "text",
@@ -87,14 +88,14 @@ def idle_time(
 
 
 def positions_on_day(
-    positions: DataFrame, service_date: str, *, tz: str = temporal.NEW_YORK
+    positions: DataFrame, service_date: str, *, tz: str = constants.LOCAL_ZONE
 ) -> DataFrame:
     """Reports whose local date is ``service_date``; the range is pushed to the scan."""
     return positions.where(temporal.on_local_day(F.col("vehicle_timestamp"), service_date, tz))
 
 
 def first_arrivals(
-    positions: DataFrame, *, service_date: str | None = None, tz: str = temporal.NEW_YORK
+    positions: DataFrame, *, service_date: str | None = None, tz: str = constants.LOCAL_ZONE
 ) -> DataFrame:
     """Earliest report per (station, local date, trip), whatever its status or direction."""
     if service_date is not None:
@@ -110,8 +111,8 @@ def headway(
     positions: DataFrame,
     *,
     service_date: str | None = None,
-    max_minutes: int = 20,
-    tz: str = temporal.NEW_YORK,
+    max_minutes: int = constants.HEADWAY_MAX_MINUTES,
+    tz: str = constants.LOCAL_ZONE,
     dedupe_ties: bool = False,
     approximate_trips: bool = False,
     slice_s: int | None = None,
@@ -175,8 +176,8 @@ def busiest(
     *,
     service_date: str | None = None,
     weekdays_only: bool = True,
-    top: int = 10,
-    tz: str = temporal.NEW_YORK,
+    top: int = constants.BUSIEST_TOP,
+    tz: str = constants.LOCAL_ZONE,
 ) -> DataFrame:
     """The ``top`` stations by number of train arrivals, on one date or on all weekdays."""
     arrivals = first_arrivals(positions, service_date=service_date, tz=tz)

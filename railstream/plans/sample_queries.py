@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from railstream.operators import samples as ops
 from railstream.plans import adapters
 from railstream.plans.registry import PREPARED, SAMPLES, STOPS, query
+from railstream.session import scratch_path
+from railstream.sources.tables import replace_table
 
 _TARGET = "purchase"
 _KEYS = ("trip_uid", "target_sequence")
@@ -20,6 +22,12 @@ def _samples(spark, sf_dir, method="window"):
     return ops.context_windows(_prepared(spark, sf_dir), target_stop=_TARGET, method=method)
 
 
+def _stored(spark, sf_dir):
+    """Samples and split dates; the samples are stored, as both uses read all of them."""
+    samples = replace_table(_samples(spark, sf_dir), scratch_path(spark, "samples"), as_path=True)
+    return samples, ops.split_dates(samples)
+
+
 _PREPARED_COLUMNS = """trip_uid, start_time_dts, route_id, direction, stop_id, stop_name, stop_lat,
   stop_lon, arrival_time, departure_time, arrival_time_nyc, stop_sequence, minutes_since_prev_stop,
   hour_of_day, day_of_week, trip_date, is_rush_hour, is_weekend"""
@@ -107,15 +115,13 @@ _SPLIT_SQL = SAMPLES + """, split AS (SELECT samples.*, CASE WHEN trip_date <= t
 
 @query("assign_split", _SPLIT_SQL + "SELECT trip_uid, target_sequence, trip_date, split FROM split")
 def assign_split(spark, sf_dir):
-    samples = _samples(spark, sf_dir)
-    return ops.assign_split(samples, ops.split_dates(samples)).select(*_KEYS, "trip_date", "split")
+    return ops.assign_split(*_stored(spark, sf_dir)).select(*_KEYS, "trip_date", "split")
 
 
 @query("split_counts", _SPLIT_SQL + """SELECT split, count(*) AS n_samples,
   round(avg(target_minutes_from_prev), 6) AS mean_target_minutes FROM split GROUP BY split""")
 def split_counts(spark, sf_dir):
-    samples = _samples(spark, sf_dir)
-    return ops.split_counts(samples, ops.split_dates(samples))
+    return ops.split_counts(*_stored(spark, sf_dir))
 
 
 @query("split_summary", _SPLIT_SQL + f"""SELECT unnest(generate_series(1, 16)) AS ord, unnest([
@@ -129,16 +135,14 @@ def split_counts(spark, sf_dir):
   'Test samples: ' || (SELECT count(*) FROM split WHERE split = 'test'),
   '{"═" * 51}']) AS info FROM dates""")
 def split_summary(spark, sf_dir):
-    samples = _samples(spark, sf_dir)
-    return ops.split_summary(samples, ops.split_dates(samples))
+    return ops.split_summary(*_stored(spark, sf_dir))
 
 
 def _read(split: str):
     @query(f"{split}_split_read", _SPLIT_SQL + f"""SELECT target_minutes_from_prev, {_FLAT_SQL}
 FROM split WHERE split = '{split}'""")
     def read(spark, sf_dir):
-        samples = _samples(spark, sf_dir)
-        return ops.read_split(samples, ops.split_dates(samples), split)
+        return ops.read_split(*_stored(spark, sf_dir), split)
     return read
 
 

@@ -15,6 +15,10 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when the operator above would have reused the join's partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Streaming state may outgrow the heap; only changes are written per batch.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

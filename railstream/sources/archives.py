@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from railstream import schemas
+from railstream import constants, schemas
 from railstream.functions import temporal
 
 # Python workers get the functions below by value: they need not have this package installed.
@@ -204,7 +204,7 @@ def _month_counts(rows: DataFrame) -> DataFrame:
         F.count_if("bad_record").alias("bad_rows"))
 
 
-def accepted_rows(rows: DataFrame, *, max_bad: int = 1000) -> DataFrame:
+def accepted_rows(rows: DataFrame, *, max_bad: int = constants.MAX_BAD_RECORDS) -> DataFrame:
     """Good rows of the months with at most ``max_bad`` bad records.
 
     The months over the limit are found first and compared as a list (one short text per
@@ -216,7 +216,7 @@ def accepted_rows(rows: DataFrame, *, max_bad: int = 1000) -> DataFrame:
                 .drop("bad_record"))
 
 
-def append_months(rows: DataFrame, target: str, *, max_bad: int = 1000) -> None:
+def append_months(rows: DataFrame, target: str, *, max_bad: int = constants.MAX_BAD_RECORDS) -> None:
     """Store accepted rows by month. A month loaded again replaces itself."""
     (accepted_rows(rows, max_bad=max_bad)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -224,7 +224,7 @@ def append_months(rows: DataFrame, target: str, *, max_bad: int = 1000) -> None:
 
 
 def month_outcomes(
-    months: DataFrame, files: DataFrame, rows: DataFrame, *, max_bad: int = 1000
+    months: DataFrame, files: DataFrame, rows: DataFrame, *, max_bad: int = constants.MAX_BAD_RECORDS
 ) -> DataFrame:
     """Per expected month: ``success``, ``failed`` or ``empty``, loaded and bad rows.
 

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from railstream import schemas
 from railstream.functions import text
+from railstream.session import scratch_path
+from railstream.sources.tables import replace_table
 
 _LOOKUP = T.StructType([T.StructField(n, T.StringType()) for n in
                         ("stop_id", "stop_name", "stop_lat", "stop_lon", "_bad")])
@@ -17,7 +19,8 @@ def read_stop_lookup(spark: SparkSession, path: str) -> DataFrame:
     """Lookup CSV, one record per line: the first four fields as trimmed text.
 
     Empty and short lines and header lines (wherever they occur) are left out. For a
-    repeated id the last line wins.
+    repeated id the last line wins. The file is read when this is called and the lookup kept
+    as a table: a stream joined to it uses that state in every batch until it is restarted.
     """
     lines = (spark.read.schema(_LOOKUP)
              .option("header", False).option("escape", "\"").option("mode", "PERMISSIVE")
@@ -29,8 +32,9 @@ def read_stop_lookup(spark: SparkSession, path: str) -> DataFrame:
     # A short line is marked corrupt; a long one too, but it has a fourth field.
     whole = F.col("_bad").isNull() | F.col("stop_lon").isNotNull()
     first = F.coalesce(F.col("stop_id"), F.lit(""))
-    return stop_lookup(lines.where(whole & (F.lower(first) != "stop_id"))
-                            .withColumn("stop_id", first), place="_place")
+    rows = lines.where(whole & (F.lower(first) != "stop_id")).withColumn("stop_id", first)
+    return replace_table(stop_lookup(rows, place="_place"), scratch_path(spark, "stop-lookup"),
+                         as_path=True)
 
 
 def stop_lookup(stops: DataFrame, *, place: str | None = None) -> DataFrame:

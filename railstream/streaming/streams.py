@@ -9,15 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-WINDOW = "30 seconds"
-LATENESS = "10 seconds"
-EVERY = "5 seconds"
+from railstream.constants import STREAM_EVERY, STREAM_LATENESS, STREAM_WINDOW
 
 # Fields that tell one report from another.
 REPORT_KEY = ("entity_id", "vehicle_timestamp", "stop_id")
 
 
-def assign_window(df: DataFrame, ts: str = "publish_time", length: str = WINDOW) -> DataFrame:
+def assign_window(df: DataFrame, ts: str = "publish_time", length: str = STREAM_WINDOW) -> DataFrame:
     """Add ``window_start`` and ``window_end``; changes no row and keeps no state."""
     window = F.window(ts, length)
     return (df.withColumn("_w", window)
@@ -37,8 +35,8 @@ def windowed_counts(
     ts: str = "publish_time",
     *,
     keys: Sequence[str] = (),
-    length: str = WINDOW,
-    lateness: str = LATENESS,
+    length: str = STREAM_WINDOW,
+    lateness: str = STREAM_LATENESS,
 ) -> DataFrame:
     """Rows per window, final: a window comes out once, when ``lateness`` after its end has passed.
 
@@ -54,7 +52,7 @@ def write_delta_counts(
     *,
     ts: str = "publish_time",
     keys: Sequence[str] = (),
-    length: str = WINDOW,
+    length: str = STREAM_WINDOW,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Rows per window and firing: each micro-batch adds the counts of its own rows only.
@@ -75,7 +73,7 @@ def dedupe_positions(
     *,
     keys: Sequence[str] = REPORT_KEY,
     ts: str = "vehicle_timestamp",
-    lateness: str = LATENESS,
+    lateness: str = STREAM_LATENESS,
 ) -> DataFrame:
     """One row per distinct ``keys`` (which must include ``ts``); rows without a time pass unchanged.
 
@@ -94,7 +92,7 @@ def dedupe_positions(
 
 def _trigger(trigger: Mapping[str, object] | None) -> dict:
     """A batch starts as soon as there is data, at most every five seconds."""
-    return dict(trigger) if trigger else {"processingTime": EVERY}
+    return dict(trigger) if trigger else {"processingTime": STREAM_EVERY}
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, trigger, name: str | None) -> StreamingQuery:
