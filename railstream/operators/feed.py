@@ -56,20 +56,24 @@ def parse_messages(
     if on_bad not in ("reject", "fail"):
         raise ValueError("on_bad must be 'reject' or 'fail'")
     raw = F.col(payload).cast("string")
+    # Blank text and a bare null are no objects, but are not reported as corrupt.
+    blank = raw.rlike(r"^\s*(null)?\s*$")
     fields = list(schemas.FEED_MESSAGE.fields)
+    columns = {"event_timestamp_unix": F.col("event_timestamp_unix").try_cast("bigint")}
     if on_bad == "fail":
-        parsed = F.from_json(raw, schemas.FEED_MESSAGE, {"mode": "FAILFAST"})
+        parsed = F.when(blank, F.raise_error("Malformed message: blank payload")).otherwise(
+            F.from_json(raw, schemas.FEED_MESSAGE, {"mode": "FAILFAST"}))
     else:
         fields.append(T.StructField(_BAD, T.StringType()))
         parsed = F.from_json(raw, T.StructType(fields), {
             "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
-    kept = [c for c in df.columns if c not in {f.name for f in fields}]
+        columns[_BAD] = F.coalesce(F.col(_BAD), F.when(blank, raw))
+    names = [f.name for f in fields]
+    kept = [c for c in df.columns if c not in names]
     # Generated as a one-element array: filters on the result then do not parse once more.
-    unix = F.col("event_timestamp_unix").try_cast("bigint").alias("event_timestamp_unix")
-    return (df.select(*kept, F.inline(F.array(parsed)))
-              .select(*kept, *[unix if f.name == "event_timestamp_unix" else f.name
-                               for f in fields],
-                      F.current_timestamp().alias("processing_time")))
+    rows = df.select(*kept, F.inline(F.array(parsed)))
+    return rows.select(*kept, *[columns.get(n, F.col(n)).alias(n) for n in names],
+                       F.current_timestamp().alias("processing_time"))
 
 
 def good_messages(parsed: DataFrame) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import io
+import itertools
 import lzma
 import sys
 import tarfile
 from collections.abc import Iterator, Sequence
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -53,44 +55,49 @@ def read_archives(spark: SparkSession, path: str, pattern: str = "*.tar.xz") ->
                  .load(path).select("path", "content"))
 
 
-def _members(content: bytes) -> Iterator[tuple[tarfile.TarFile, tarfile.TarInfo]]:
+def _members(content: bytes) -> Iterator[tuple[str, int, BinaryIO]]:
+    """Name, size and open content of each CSV member, in the order of the archive."""
     with tarfile.open(fileobj=io.BytesIO(content), mode="r|xz") as archive:
         for member in archive:
             if member.isfile() and member.name.endswith(".csv"):
-                yield archive, member
+                yield member.name.rsplit("/", 1)[-1], member.size, archive.extractfile(member)
 
 
-def _lines(path: str, content: bytes) -> Iterator[tuple]:
-    """Rows of one archive: its lines, then per file and for the archive a row without line."""
+def _rows(n: int, **columns) -> pa.RecordBatch:
+    """``n`` rows; a column is a list of values, one value for all rows, or left out (NULL)."""
+    arrays = []
+    for field in _ARROW:
+        value = columns.get(field.name)
+        values = value if isinstance(value, (list, range)) else [value] * n
+        arrays.append(pa.array(values, field.type))
+    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+
+
+def _archive_rows(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
+    """Rows of one archive: the lines of each member and its size, at the end the archive's own."""
     try:
         # An archive counts only as a whole, so it is read to its end before any row is made.
-        for archive, member in _members(content):
-            for raw in archive.extractfile(member):
-                raw.decode("utf-8")
+        for _, _, member in _members(content):
+            while member.read(1 << 20):
+                pass
     except (tarfile.TarError, lzma.LZMAError, EOFError, OSError, ValueError) as problem:
-        yield path, None, None, None, None, str(problem) or type(problem).__name__
+        yield _rows(1, archive=path, error=str(problem) or type(problem).__name__)
         return
-    for archive, member in _members(content):
-        name = member.name.rsplit("/", 1)[-1]
-        for number, raw in enumerate(archive.extractfile(member), 1):
-            yield path, name, None, number, raw.decode("utf-8").rstrip("\r\n"), None
-        yield path, name, member.size, None, None, None
-    yield path, None, None, None, None, None
+    for name, size, member in _members(content):
+        number = 1
+        while chunk := list(itertools.islice(member, _LINES_PER_BATCH)):
+            lines = [raw.decode("utf-8", "replace").rstrip("\r\n") for raw in chunk]
+            yield _rows(len(lines), archive=path, file_name=name, line=lines,
+                        line_no=range(number, number + len(lines)))
+            number += len(lines)
+        yield _rows(1, archive=path, file_name=name, file_bytes=size)
+    yield _rows(1, archive=path)
 
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple] = []
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content")):
-            for row in _lines(path.as_py(), content.as_py()):
-                rows.append(row)
-                if len(rows) == _LINES_PER_BATCH:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
-                    rows = []
-    if rows:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+            yield from _archive_rows(path.as_py(), content.as_py())
 
 
 def expand_archives(archives: DataFrame) -> DataFrame:

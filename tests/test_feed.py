@@ -56,12 +56,15 @@ def test_message_without_entities(spark):
 
 
 def test_malformed_payload_is_rejected_or_fails(spark):
-    df = spark.createDataFrame([("{bad",), ('{"entity": []}',)], "value string")
+    bad = ["{bad", "", "  ", "null", "[1]", "7", '{"entity": 5}']
+    df = spark.createDataFrame([(b,) for b in [*bad, '{"entity": []}']], "value string")
     parsed = feed.parse_messages(df)
-    assert [r[0] for r in feed.rejected_messages(parsed).collect()] == ["{bad"]
+    assert sorted(r[0] for r in feed.rejected_messages(parsed).collect()) == sorted(bad)
     assert feed.good_messages(parsed).count() == 1
-    with pytest.raises(Exception, match="MALFORMED|Malformed"):
-        feed.parse_messages(df, on_bad="fail").collect()
+    for payload in bad:
+        one = spark.createDataFrame([(payload,)], "value string")
+        with pytest.raises(Exception, match="MALFORMED|Malformed"):
+            feed.parse_messages(one, on_bad="fail").collect()
 
 
 def test_payload_is_parsed_once(spark):
