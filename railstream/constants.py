@@ -35,6 +35,26 @@ FEATURES = {
     "seq": "stop_sequence",
 }
 
+# Lines of the split summary; names in braces stand for values.
+SPLIT_SUMMARY = (
+    "═" * 51,
+    "DATA SPLIT SUMMARY",
+    "═" * 51,
+    "",
+    "Full date range: {min_date} to {max_date}",
+    "Total days: {total_days}",
+    "",
+    "TRAIN:      {min_date} to {train_end_date}",
+    "VALIDATION: {val_start_date} to {val_end_date}",
+    "TEST:       {test_start_date} to {max_date}",
+    "",
+    "--- Sample Counts ---",
+    "Train samples: {train}",
+    "Val samples: {val}",
+    "Test samples: {test}",
+    "═" * 51,
+)
+
 # Streaming: window length, lateness, shortest time between two batches.
 STREAM_WINDOW = "30 seconds"
 STREAM_LATENESS = "10 seconds"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,12 +87,14 @@ def prepare_stop_times(
 
     def numbered(part: DataFrame) -> DataFrame:
         return ordered.join(part, [*trip, SLICE]).select(
-            *names, "_n", first.alias("_first"),
+            *names, "_n", "_most", first.alias("_first"),
             F.coalesce("_lag", "_last_before").alias("_previous"))
 
     # Copies of one row become rows again. Very many are spread over tasks in blocks; slices
     # without such rows drop out of this branch before they are sorted.
-    few = (numbered(slices).where(F.col("_n") <= _COPIES_PER_TASK)
+    # (``_n`` never exceeds ``_most``; naming it keeps both branches' slice tables the same.)
+    few = (numbered(slices)
+           .where(F.col("_n") <= F.least(F.lit(_COPIES_PER_TASK), F.col("_most")))
            .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1))
                    .alias("_copy")))
     blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / _COPIES_PER_TASK))
@@ -225,34 +229,20 @@ def split_summary(samples: DataFrame, dates: DataFrame) -> DataFrame:
     counts = {s: F.coalesce(F.sum(F.when(F.col("split") == s, F.col("n_samples"))), F.lit(0))
               for s in ("train", "val", "test")}
     facts = (split_counts(samples, dates)
-             .agg(*[c.cast("string").alias(s) for s, c in counts.items()])
-             .withColumn("b", _bounds(dates)))
-
-    def date(name: str, later: int = 0) -> Column:
-        return F.date_add(F.col(f"b.{name}"), later).cast("string")
-
-    rule = F.lit("═" * 51)
-    to = F.lit(" to ")
-    lines = [
-        rule,
-        F.lit("DATA SPLIT SUMMARY"),
-        rule,
-        F.lit(""),
-        F.concat(F.lit("Full date range: "), date("min_date"), to, date("max_date")),
-        F.concat(F.lit("Total days: "), F.col("b.total_days").cast("string")),
-        F.lit(""),
-        F.concat(F.lit("TRAIN:      "), date("min_date"), to, date("train_end_date")),
-        F.concat(F.lit("VALIDATION: "), date("train_end_date", 1), to, date("val_end_date")),
-        F.concat(F.lit("TEST:       "), date("val_end_date", 1), to, date("max_date")),
-        F.lit(""),
-        F.lit("--- Sample Counts ---"),
-        F.concat(F.lit("Train samples: "), F.col("train")),
-        F.concat(F.lit("Val samples: "), F.col("val")),
-        F.concat(F.lit("Test samples: "), F.col("test")),
-        rule,
-    ]
-    entries = F.array(*[F.struct(F.lit(i).alias("ord"), line.alias("info"))
-                        for i, line in enumerate(lines, 1)])
+             .agg(*[c.alias(s) for s, c in counts.items()])
+             .withColumn("b", _bounds(dates))
+             .select("*", "b.*",
+                     F.date_add("b.train_end_date", 1).alias("val_start_date"),
+                     F.date_add("b.val_end_date", 1).alias("test_start_date")))
+
+    def filled(line: str) -> Column:
+        # Every second piece is a name in braces.
+        pieces = re.split(r"\{(\w+)\}", line)
+        return F.concat(*[F.col(p).cast("string") if i % 2 else F.lit(p)
+                          for i, p in enumerate(pieces)])
+
+    entries = F.array(*[F.struct(F.lit(i).alias("ord"), filled(line).alias("info"))
+                        for i, line in enumerate(constants.SPLIT_SUMMARY, 1)])
     return facts.select(F.inline(entries)).orderBy("ord")
 
 

@@ -86,6 +86,7 @@ def test_headway_counts_ties_with_their_fan_out(spark):
         row = stations.headway(df, service_date=day).first()
         assert row["average_min_difference_between_trains"] == 4.00
         assert row["total_unique_trip_ids"] == 3
+    assert stations.headway(df, approximate_trips=True).first()["total_unique_trip_ids"] == 3
     apart = stations.headway(df, dedupe_ties=True).first()
     assert apart["average_min_difference_between_trains"] == 7.50
 
