@@ -85,16 +85,22 @@ def rejected_messages(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("bad_payload"))
 
 
-def flatten_messages(messages: DataFrame) -> DataFrame:
+def flatten_messages(messages: DataFrame, *, vehicles_only: bool = False) -> DataFrame:
     """Parsed messages -> the 15 fields of ``schemas.POSITIONS``, one row per report.
 
     An entity with a trip update gives a row per stop in it; otherwise one with a vehicle
     gives one row; otherwise none. Stop attributes are NULL until enrichment.
+
+    ``vehicles_only`` makes no rows for trip updates. Most rows of a feed are such, and none
+    has a status: use it where only rows with a status are kept.
     """
+    entity = F.col("entity")
+    if vehicles_only:
+        entity = F.filter(entity, lambda e: e["trip_update"].isNull() & e["vehicle"].isNotNull())
     entities = messages.select(
         "unique_event_id",
         temporal.epoch_text(F.col("header.timestamp")).alias("feed_header_timestamp"),
-        F.explode("entity").alias("e"))
+        F.explode(entity).alias("e"))
     update, vehicle = F.col("e.trip_update"), F.col("e.vehicle")
 
     def report(trip: Column, stop_id: Column, ts: Column, status: Column, seq: Column) -> Column:
@@ -104,28 +110,23 @@ def flatten_messages(messages: DataFrame) -> DataFrame:
                         status.cast("string").alias("current_status"),
                         seq.try_cast("bigint").alias("current_stop_sequence"))
 
-    none = F.lit(None)
-    per_stop = F.transform(update["stop_time_update"],
-                           lambda u: report(update["trip"], u["stop_id"], none, none, none))
-    single = F.array(report(vehicle["trip"], vehicle["stop_id"], vehicle["timestamp"],
-                            vehicle["current_status"], vehicle["current_stop_sequence"]))
-    rows = entities.select(
-        "unique_event_id", "feed_header_timestamp", F.col("e.id").alias("entity_id"),
-        F.explode(F.when(update.isNotNull(), per_stop)
-                   .when(vehicle.isNotNull(), single)).alias("r"))
-    computed = {"vehicle_timestamp": temporal.epoch_text(F.col("r.ts"))}
-    carried = {"unique_event_id", "feed_header_timestamp", "entity_id"}
-    absent = {"stop_name", "stop_lat", "stop_lon", "direction"}
-
-    def column(field: T.StructField) -> Column:
-        name = field.name
-        if name in carried:
-            return F.col(name)
-        if name in absent:
-            return F.lit(None).cast(field.dataType).alias(name)
-        return computed.get(name, F.col(f"r.{name}")).alias(name)
-
-    return rows.select(*[column(f) for f in schemas.POSITIONS.fields])
+    single = report(vehicle["trip"], vehicle["stop_id"], vehicle["timestamp"],
+                    vehicle["current_status"], vehicle["current_stop_sequence"])
+    if vehicles_only:
+        found = single
+    else:
+        none = F.lit(None)
+        per_stop = F.transform(update["stop_time_update"],
+                               lambda u: report(update["trip"], u["stop_id"], none, none, none))
+        found = F.explode(F.when(update.isNotNull(), per_stop)
+                           .when(vehicle.isNotNull(), F.array(single)))
+    rows = entities.select("unique_event_id", "feed_header_timestamp",
+                           F.col("e.id").alias("entity_id"), found.alias("r"))
+    given = {"vehicle_timestamp": temporal.epoch_text(F.col("r.ts")),
+             **{c: F.col(c) for c in ("unique_event_id", "feed_header_timestamp", "entity_id")},
+             **{c: F.lit(None) for c in ("stop_name", "stop_lat", "stop_lon", "direction")}}
+    return rows.select(*[given.get(f.name, F.col(f"r.{f.name}")).cast(f.dataType).alias(f.name)
+                         for f in schemas.POSITIONS.fields])
 
 
 def vehicle_positions(reports: DataFrame) -> DataFrame:
@@ -195,4 +196,5 @@ def live_positions(
 ) -> DataFrame:
     """The whole live chain: parse, flatten, keep reports with a status, enrich."""
     parsed = good_messages(parse_messages(messages, payload))
-    return enrich_with_stops(vehicle_positions(flatten_messages(parsed)), lookup)
+    reports = flatten_messages(parsed, vehicles_only=True)
+    return enrich_with_stops(vehicle_positions(reports), lookup)

@@ -111,7 +111,7 @@ def monthly_row_counts(spark, sf_dir):
   FROM events)
 SELECT service_date FROM days WHERE service_date NOT IN (
   SELECT CAST({nyc("ts")} AS DATE) FROM events
-  WHERE event_type = 'purchase' AND hour({nyc("ts")}) = 3)""")
+  WHERE event_type = 'purchase' AND hour({nyc("ts")}) = 3)""", dates=("service_date",))
 def day_spine_missing(spark, sf_dir):
     from railstream.functions import temporal
 
@@ -125,7 +125,8 @@ def day_spine_missing(spark, sf_dir):
 
 
 @query("archive_expand", """SELECT CAST(ts AS DATE) AS service_date,
-  strftime(ts, '%Y-%m') AS year_month, event_id, event_type FROM events""")
+  strftime(ts, '%Y-%m') AS year_month, event_id, event_type FROM events""",
+       dates=("service_date",))
 def archive_expand(spark, sf_dir):
     packed = adapters.packed_days(adapters.table(spark, sf_dir, "events"))
     lines = archives.expand_archives(packed).where(
@@ -136,7 +137,7 @@ def archive_expand(spark, sf_dir):
 
 
 @query("archive_status", """SELECT 'DECOMPRESSED' AS status, CAST(ts AS DATE) AS service_date,
-  true AS has_data FROM events GROUP BY ALL""")
+  true AS has_data FROM events GROUP BY ALL""", dates=("service_date",))
 def archive_status(spark, sf_dir):
     packed = adapters.packed_days(adapters.table(spark, sf_dir, "events"))
     report = archives.expansion_report(archives.expand_archives(packed))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from railstream.session import configure
 
@@ -14,15 +15,23 @@ QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function of (session, data folder) under ``name``."""
+def query(
+    name: str, sql: str | None = None, *, dates: tuple[str, ...] = ()
+) -> Callable[[Query], Query]:
+    """Register a function of (session, data folder) under ``name``.
+
+    Columns in ``dates`` are compared as text: the engines' clients return dates as
+    different types.
+    """
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(configure(spark), sf_dir)
+            result = function(configure(spark), sf_dir)
+            return result.withColumns({c: F.col(c).cast("string") for c in dates})
 
         QUERIES[name] = run
         if sql is not None:
-            CHECKS[name] = sql
+            as_text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dates)
+            CHECKS[name] = f"SELECT * REPLACE ({as_text}) FROM ({sql})" if dates else sql
         return function
     return register
 

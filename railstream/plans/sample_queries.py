@@ -33,7 +33,7 @@ _PREPARED_COLUMNS = """trip_uid, start_time_dts, route_id, direction, stop_id, s
   hour_of_day, day_of_week, trip_date, is_rush_hour, is_weekend"""
 
 
-@query("prepare_stop_times", f"SELECT {_PREPARED_COLUMNS} FROM ({PREPARED})")
+@query("prepare_stop_times", f"SELECT {_PREPARED_COLUMNS} FROM ({PREPARED})", dates=("trip_date",))
 def prepare_stop_times(spark, sf_dir):
     return adapters.plain(_prepared(spark, sf_dir))
 
@@ -65,12 +65,12 @@ def _context_text(samples):
     return adapters.plain(samples.withColumn("context", context).drop("context_stops"))
 
 
-@query("context_windows", _CONTEXT_SQL)
+@query("context_windows", _CONTEXT_SQL, dates=("trip_date",))
 def context_windows(spark, sf_dir):
     return _context_text(_samples(spark, sf_dir))
 
 
-@query("context_windows_join", _CONTEXT_SQL)
+@query("context_windows_join", _CONTEXT_SQL, dates=("trip_date",))
 def context_windows_join(spark, sf_dir):
     return _context_text(_samples(spark, sf_dir, "join"))
 
@@ -103,7 +103,8 @@ def context_matrix(spark, sf_dir):
                  .withColumn("cell", F.col("cell").cast("double")))
 
 
-@query("split_dates", SAMPLES + "SELECT * FROM dates")
+@query("split_dates", SAMPLES + "SELECT * FROM dates",
+       dates=("min_date", "max_date", "train_end_date", "val_end_date"))
 def split_dates(spark, sf_dir):
     return ops.split_dates(_samples(spark, sf_dir))
 
@@ -113,7 +114,8 @@ _SPLIT_SQL = SAMPLES + """, split AS (SELECT samples.*, CASE WHEN trip_date <= t
   FROM samples, dates WHERE trip_date >= min_date AND trip_date <= max_date) """
 
 
-@query("assign_split", _SPLIT_SQL + "SELECT trip_uid, target_sequence, trip_date, split FROM split")
+@query("assign_split", _SPLIT_SQL + "SELECT trip_uid, target_sequence, trip_date, split FROM split",
+       dates=("trip_date",))
 def assign_split(spark, sf_dir):
     return ops.assign_split(*_stored(spark, sf_dir)).select(*_KEYS, "trip_date", "split")
 

@@ -86,7 +86,8 @@ def headway_on_day(spark, sf_dir):
     return stations.headway(adapters.visits(events), service_date=_DAY, max_minutes=240)
 
 
-@query("first_arrivals", f"WITH {_arrivals_sql(_HOURLY)} SELECT * FROM arrivals")
+@query("first_arrivals", f"WITH {_arrivals_sql(_HOURLY)} SELECT * FROM arrivals",
+       dates=("event_date",))
 def first_arrivals(spark, sf_dir):
     events = adapters.table(spark, sf_dir, "events")
     return adapters.plain(stations.first_arrivals(adapters.positions(events)))

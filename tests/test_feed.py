@@ -45,9 +45,14 @@ def test_vehicle_gives_one_row(spark):
     ({"id": "1"}, 0, 0),
 ])
 def test_flatten_cases(spark, entity, rows, with_status):
-    out = flat(messages(spark, entity))
+    df = messages(spark, entity)
+    out = flat(df)
     assert out.count() == rows
-    assert feed.vehicle_positions(out).count() == with_status
+    kept = feed.vehicle_positions(out)
+    assert kept.count() == with_status
+    short = feed.flatten_messages(feed.good_messages(feed.parse_messages(df)), vehicles_only=True)
+    assert short.schema == out.schema
+    assert feed.vehicle_positions(short).collect() == kept.collect()
 
 
 def test_message_without_entities(spark):
