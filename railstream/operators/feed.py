@@ -164,21 +164,30 @@ def enrich_with_stops(
     spellings = F.map_from_entries(F.collect_list(
         F.struct("stop_id", F.struct("stop_name", "stop_lat", "stop_lon"))))
     by_upper = lookup.groupBy(F.upper("stop_id").alias("key")).agg(spellings.alias("found"))
-    exact = by_upper.select(F.col("key").alias("_upper"), F.col("found").alias("_exact"))
-    short = by_upper.select(F.col("key").alias("_short_upper"), F.col("found").alias("_short"))
+    # Spark splits a hot key only where both sides come straight from a shuffle. The length as
+    # a second key says nothing new, but has the grouped (small) lookup shuffled once more.
+    def side(key: str, found: str) -> DataFrame:
+        return by_upper.select(F.col("key").alias(key), F.length("key").alias(f"{key}_length"),
+                               F.col("found").alias(found))
 
     raw = F.col("stop_id")
     key = text.strip(raw)
     known = raw.isNotNull() & (raw != "")
     stem = text.without_last(F.col("_key"))
-    nobody = F.concat(F.lit("\0"), F.xxhash64("entity_id", "trip_id", "vehicle_timestamp"))
+    # The number of the input partition is the same in every attempt and tells copies apart.
+    nobody = F.concat_ws("-", F.lit("\0"), F.spark_partition_id().cast("string"),
+                         F.xxhash64("entity_id", "trip_id", "vehicle_timestamp").cast("string"))
     keyed = (reports.drop("stop_name", "stop_lat", "stop_lon", "direction")
                     .withColumn("_key", F.when(known, key))
                     .withColumn("_stem", F.when(text.ends_with_letter(F.col("_key")), stem))
                     .withColumn("_upper", F.coalesce(F.upper("_key"), nobody))
-                    .withColumn("_short_upper", F.coalesce(F.upper("_stem"), nobody)))
+                    .withColumn("_short_upper", F.coalesce(F.upper("_stem"), nobody))
+                    .withColumn("_upper_length", F.length("_upper"))
+                    .withColumn("_short_upper_length", F.length("_short_upper")))
     # The stop is taken by the true keys: a made-up one finds nothing, whatever it meets.
-    found = (keyed.join(exact, "_upper", "left").join(short, "_short_upper", "left")
+    found = (keyed.join(side("_upper", "_exact"), ["_upper", "_upper_length"], "left")
+                  .join(side("_short_upper", "_short"), ["_short_upper", "_short_upper_length"],
+                        "left")
                   .withColumn("_stop", F.coalesce(
                       F.try_element_at("_exact", F.col("_key")),
                       F.try_element_at("_exact", F.upper("_key")),

@@ -119,6 +119,22 @@ def test_enrichment_keys_and_direction(spark, threshold):
     assert (by_id["A01N"]["stop_lat"], by_id["A02N"]["stop_lat"]) == (40.1, None)
 
 
+def test_shuffled_lookup_can_split_hot_stops(spark):
+    lookup = stop_files.stop_lookup(spark.createDataFrame(
+        LOOKUP, "stop_id string, stop_name string, stop_lat string, stop_lon string"))
+    rows = flat(messages(spark, {"id": "1", "vehicle": VEHICLE}))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(feed.enrich_with_stops(rows, lookup), "simple").splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # each side of each join comes straight from a shuffle on the join keys
+    for key in ("_upper", "_short_upper"):
+        shuffles = [x for x in plan if "Exchange hashpartitioning(" + key + "#" in x
+                    and key + "_length#" in x]
+        assert len(shuffles) == 2
+
+
 def test_direction_by_suffix(spark):
     ids = spark.createDataFrame([("S01N",), ("A01S",)], "i string")
     out = ids.select(feed.direction_of(F.col("i"), by_suffix=True)).collect()
