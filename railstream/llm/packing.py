@@ -28,7 +28,7 @@ from railstream.llm.wordsplit import load_tokenizer, tokenizer_path, words_of
 CAPACITY = 4096
 END_ID = 2
 SLACK = 0.02
-LANES = 1024
+LANES = 256
 # Words whose ids a worker process keeps; later ones are encoded again.
 CACHED_WORDS = 400_000
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railstream.llm import packing, sharding
+from railstream.llm import bpe, packing, quality, sharding
 from railstream.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,23 @@ def _register(name: str):
     return keep
 
 
+@_register("op2_distinct_word_bpe")
+def distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(table(spark, sf_dir, "documents"))
+    coded = coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
+    return bpe.decode(coded).select("doc_id", "n_tokens", "ids_sha256",
+                                    F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@_register("op7_adaptive_quality")
+def adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 @_register("op9_harmonic_packing")
 def harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
