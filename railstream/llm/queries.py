@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railstream.llm import bpe, packing, quality, sharding
+from railstream.llm import bpe, packing, quality, secrets, sharding, toxicity
 from railstream.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +32,34 @@ def distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def _joined(spans: str):
+    """kind:start:end of each find, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _of_kind(kind: str, span):
+    return span["kind"] == kind
+
+
+@_register("op4_recursive_secrets")
+def recursive_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.finds(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", partial(_of_kind, kind))).cast("long").alias(f"n_{kind}")
+              for kind in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"),
+                        _joined("every").alias("spans"), "unread")
+
+
+@_register("op6_compression_toxicity")
+def compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return (toxicity.score(docs, model).select("row.doc_id", "score")
+            .select("doc_id", toxicity.in_fold("doc_id").alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 @_register("op7_adaptive_quality")
 def adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select(

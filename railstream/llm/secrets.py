@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railstream.llm.blocks import Words, text_blocks  # noqa: F401
+from railstream.llm.blocks import text_blocks
 
 KINDS = ("assign", "access", "hex")
 # Bytes that one compressed run may expand to. Beyond it the run is counted as unread, not cut.
@@ -39,7 +39,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{40,}\r?\n)+[A-Za-z0-9+/]*={0,2}")
+_PART = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
 
 
@@ -58,8 +60,8 @@ class Layer(NamedTuple):
     """Text with, for each character, where it came from; or all of it from one range."""
 
     text: str
-    starts: list[int] | None
-    ends: list[int] | None
+    starts: list[int] | range | None
+    ends: list[int] | range | None
     whole: tuple[int, int]
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
@@ -101,7 +103,9 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     text.append(layer.text[at:])
     if layer.starts is None:
         return Layer("".join(text), None, None, layer.whole)
-    return Layer("".join(text), starts + layer.starts[at:], ends + layer.ends[at:], layer.whole)
+    starts += layer.starts[at:]
+    ends += layer.ends[at:]
+    return Layer("".join(text), starts, ends, layer.whole)
 
 
 def _url(found: str) -> str | None:
@@ -152,9 +156,21 @@ def _expanded(data: bytes, limit: int) -> bytes | None:
     return out
 
 
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """Where base64 may stand: runs, their parts between dashes, and runs over several lines."""
+    for run in _BASE64.finditer(text):
+        yield run.span()
+        if "-" in run[0] or "_" in run[0]:
+            for part in _PART.finditer(text, *run.span()):
+                yield part.span()
+    if "\n" in text:
+        for run in _WRAPPED.finditer(text):
+            yield run.span()
+
+
 def _decoded(run: str, limit: int) -> str | None:
     """Text behind one base64 run, through any number of compressed layers, or None."""
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
+    body = "".join(run.split()).rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         return None
     try:
@@ -175,20 +191,19 @@ def scan(text: str, limit: int = EXPANDED_BYTES) -> tuple[list[Span], list[Span]
     """Base finds, all finds, and the number of runs that expand beyond ``limit``; both in order."""
     base = sorted(Span(*m) for m in matches(text))
     found, unread = set(base), 0
-    every = list(range(len(text) + 1))
-    work = [Layer(text, every[:-1], every[1:], (0, len(text)))]
+    work = [Layer(text, range(len(text)), range(1, len(text) + 1), (0, len(text)))]
     seen = {(text, None)}
     while work:
         layer = work.pop()
         made = [_replaced(layer, _URL, _url), _replaced(layer, _UNICODE, _unicode)]
-        for run in _BASE64.finditer(layer.text):
+        for start, end in _runs(layer.text):
             try:
-                inner = _decoded(run[0], limit)
+                inner = _decoded(layer.text[start:end], limit)
             except OverflowError:
                 unread += 1
                 continue
             if inner:
-                made.append(Layer(inner, None, None, layer.origin(run.start(), run.end())))
+                made.append(Layer(inner, None, None, layer.origin(start, end)))
         for new in made:
             # A text counts as seen for its own range: the same secret elsewhere is another find.
             key = new and (new.text, new.whole if new.starts is None else None)
@@ -217,26 +232,14 @@ def masked(text: str, spans: list[Span], mask: str = MASK) -> str:
     return "".join(out) + text[at:]
 
 
-def _class(chars: bytes) -> np.ndarray:
+def _class(chars: str) -> np.ndarray:
     flags = np.zeros(256, bool)
-    flags[list(chars)] = True
+    flags[list(chars.encode())] = True
     return flags
 
 
-_LETTERS = bytes([*range(65, 91), *range(97, 123)])
-_IN_HEX = _class(b"0123456789abcdef")
-_IN_BASE64 = _class(_LETTERS + b"0123456789+/_-")
-_DIGIT = _class(b"0123456789+/_-")
-
-
-def _long_runs(inside: np.ndarray, offsets: np.ndarray, least: int) -> np.ndarray:
-    """Starts of the runs of at least ``least`` flagged bytes, none across texts."""
-    flags = np.concatenate([[False], inside, [False]])
-    change = flags[1:] != flags[:-1]
-    change[offsets[1:-1]] |= inside[offsets[1:-1]] if len(inside) else False
-    edges = np.flatnonzero(flags[1:] != flags[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    return starts[ends - starts >= least]
+_IN_HEX = _class("0123456789abcdef")
+_IN_BASE64 = _class("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
 
 
 def _suspects(texts: pa.LargeBinaryArray, raw: list[bytes]) -> np.ndarray:
@@ -246,7 +249,8 @@ def _suspects(texts: pa.LargeBinaryArray, raw: list[bytes]) -> np.ndarray:
     """
     n = len(texts)
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + n + 1]
-    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] else np.zeros(0, np.uint8)
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data else np.zeros(0, np.uint8)
     offsets = offsets - offsets[0]
     marked = np.zeros(n, bool)
     for inside, least in ((_IN_HEX, 24), (_IN_BASE64, 16)):
