@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railstream.llm import bpe, packing, quality, secrets, sharding, toxicity
+from railstream.llm import bpe, ngram_join, packing, quality, secrets, sharding, toxicity
 from railstream.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,11 @@ def _register(name: str):
     return keep
 
 
+@_register("op1_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.grouped_documents(table(spark, sf_dir, "documents"))
+
+
 @_register("op2_distinct_word_bpe")
 def distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"))
