@@ -9,16 +9,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railstream.llm import packing
+from railstream.llm import ngram_join, packing, quality, secrets, toxicity
 from railstream.llm.store import stored, table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below one half."""
+    return toxicity.accepted(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the fixed rules and the thresholds of their language and source."""
+    return quality.passing(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at a similarity of 0.8 or more."""
+    return ngram_join.one_of_each(docs, words=5, percent=80)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced in their texts."""
+    return secrets.redacted(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all remaining documents in sequences of 4096 tokens."""
     return packing.pack(docs)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality rules", drop_poor),
+    ("near duplicates", drop_near_copies),
+    ("secret scans", mask_secrets),
+    ("packing", pack),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +55,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-# Tokens, compressed lengths and quantile sketches have no SQL form; the tests hold brute force
-# versions of each stage against it.
+# Compressed lengths, quantile summaries and tokens have no SQL form; the tests hold the stages
+# against brute force instead.
 ORACLE_SQL = None
