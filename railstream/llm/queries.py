@@ -29,22 +29,11 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op2_distinct_word_bpe")
 def distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(table(spark, sf_dir, "documents"))
-    coded = coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
-    return bpe.decode(coded).select("doc_id", "n_tokens", "ids_sha256",
-                                    F.sha2("text", 256).alias("decoded_sha256"))
-
-
-def _joined(spans: str):
-    """kind:start:end of each find, comma-joined."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
-        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-
-
-def _of_kind(kind: str, span):
-    return span["kind"] == kind
+    coded = bpe.encode(table(spark, sf_dir, "documents"), with_text=True)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(ids, 256).alias("ids_sha256"),
+                        F.sha2("text", 256).alias("decoded_sha256"))
 
 
 @_register("op4_recursive_secrets")
