@@ -32,10 +32,10 @@ FOLDS = 5
 
 WINDOW = 64
 STEP = 48
-COMMON_BYTES = 48 << 10
+COMMON_BYTES = 96 << 10
 CLASS_BYTES = 8 << 10
 # A class word has this many different words before it, and this times the other class's share.
-MIN_CONTEXTS = 5
+MIN_CONTEXTS = 6
 MIN_RATIO = 8
 # Share of ordinary windows beyond the window threshold.
 WINDOW_TAIL = 0.001
