@@ -8,7 +8,18 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railstream.llm import bpe, ngram_join, packing, quality, secrets, sharding, toxicity
+from railstream.llm import (
+    bpe,
+    chat,
+    ngram_join,
+    packing,
+    permutation_index,
+    quality,
+    secrets,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from railstream.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +47,14 @@ def distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("text", 256).alias("decoded_sha256"))
 
 
+@_register("op3_perspective_rotation")
+def perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
+CHECKS["op3_perspective_rotation"] = chat.PERSPECTIVES_SQL
+
+
 @_register("op4_recursive_secrets")
 def recursive_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.finds(table(spark, sf_dir, "documents"))
@@ -45,6 +64,11 @@ def recursive_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _joined("every").alias("spans"), "unread")
 
 
+@_register("op5_permutation_index")
+def permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 @_register("op6_compression_toxicity")
 def compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -61,6 +85,11 @@ def adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+@_register("op8_viterbi_counts")
+def viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"))
+
+
 @_register("op9_harmonic_packing")
 def harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
