@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from railstream.session import scratch_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
@@ -13,16 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once under ``spark.checkpoint.dir`` and return the table read back.
+    """Write ``df`` once in the shared scratch folder and return the table read back.
 
     Cuts the lineage: a lost executor costs one read of the file, not the work before it. The
-    folder is the session's; whoever sets it clears it after the run. Without the setting the
-    call fails, as a folder of one machine is of no use to the others.
+    folder is the session's ``spark.checkpoint.dir``; whoever sets it clears it after the run.
     """
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = f"{base.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
