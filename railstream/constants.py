@@ -60,5 +60,9 @@ STREAM_WINDOW = "30 seconds"
 STREAM_LATENESS = "10 seconds"
 STREAM_EVERY = "5 seconds"
 
+# De-duplication: time for which a report is remembered, parts that repeats are split into.
+DEDUPE_HORIZON = "10 minutes"
+DEDUPE_SPREAD = 8
+
 # Monthly load: bad records a month may have.
 MAX_BAD_RECORDS = 1000

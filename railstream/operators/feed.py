@@ -5,11 +5,13 @@ Every function is stateless and works on batch and streaming DataFrames alike.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from railstream import schemas
+from railstream import constants, schemas
 from railstream.functions import temporal, text
 
 _BAD = "_bad_payload"
@@ -85,7 +87,9 @@ def rejected_messages(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("bad_payload"))
 
 
-def flatten_messages(messages: DataFrame, *, vehicles_only: bool = False) -> DataFrame:
+def flatten_messages(
+    messages: DataFrame, *, vehicles_only: bool = False, keep_rejects: bool = False
+) -> DataFrame:
     """Parsed messages -> the 15 fields of ``schemas.POSITIONS``, one row per report.
 
     An entity with a trip update gives a row per stop in it; otherwise one with a vehicle
@@ -93,14 +97,23 @@ def flatten_messages(messages: DataFrame, *, vehicles_only: bool = False) -> Dat
 
     ``vehicles_only`` makes no rows for trip updates. Most rows of a feed are such, and none
     has a status: use it where only rows with a status are kept.
+
+    ``keep_rejects`` takes parsed messages before ``good_messages``: a message that could not be
+    parsed gives one row with its text in the further column ``bad_payload``.
     """
     entity = F.col("entity")
     if vehicles_only:
         entity = F.filter(entity, lambda e: e["trip_update"].isNull() & e["vehicle"].isNotNull())
+    also = []
+    if keep_rejects:
+        nobody = F.array(F.lit(None).cast(messages.schema["entity"].dataType.elementType))
+        entity = F.when(F.col(_BAD).isNotNull(), nobody).otherwise(entity)
+        also = [F.col(_BAD).alias("bad_payload")]
     entities = messages.select(
         "unique_event_id",
         temporal.epoch_text(F.col("header.timestamp")).alias("feed_header_timestamp"),
-        F.explode(entity).alias("e"))
+        F.explode(entity).alias("e"), *also)
+    also = ["bad_payload"] if keep_rejects else []
     update, vehicle = F.col("e.trip_update"), F.col("e.vehicle")
 
     def report(trip: Column, stop_id: Column, ts: Column, status: Column, seq: Column) -> Column:
@@ -118,15 +131,17 @@ def flatten_messages(messages: DataFrame, *, vehicles_only: bool = False) -> Dat
         none = F.lit(None)
         per_stop = F.transform(update["stop_time_update"],
                                lambda u: report(update["trip"], u["stop_id"], none, none, none))
-        found = F.explode(F.when(update.isNotNull(), per_stop)
-                           .when(vehicle.isNotNull(), F.array(single)))
+        reports = F.when(update.isNotNull(), per_stop).when(vehicle.isNotNull(), F.array(single))
+        if keep_rejects:
+            reports = F.when(F.col("bad_payload").isNotNull(), F.array(single)).otherwise(reports)
+        found = F.explode(reports)
     rows = entities.select("unique_event_id", "feed_header_timestamp",
-                           F.col("e.id").alias("entity_id"), found.alias("r"))
+                           F.col("e.id").alias("entity_id"), found.alias("r"), *also)
     given = {"vehicle_timestamp": temporal.epoch_text(F.col("r.ts")),
              **{c: F.col(c) for c in ("unique_event_id", "feed_header_timestamp", "entity_id")},
              **{c: F.lit(None) for c in ("stop_name", "stop_lat", "stop_lon", "direction")}}
     return rows.select(*[given.get(f.name, F.col(f"r.{f.name}")).cast(f.dataType).alias(f.name)
-                         for f in schemas.POSITIONS.fields])
+                         for f in schemas.POSITIONS.fields], *also)
 
 
 def vehicle_positions(reports: DataFrame) -> DataFrame:
@@ -147,10 +162,12 @@ def direction_of(stop_id: Column, *, by_suffix: bool = False) -> Column:
 
 
 def enrich_with_stops(
-    reports: DataFrame, lookup: DataFrame, *, by_suffix: bool = False
+    reports: DataFrame, lookup: DataFrame, *, by_suffix: bool = False, also: Sequence[str] = ()
 ) -> DataFrame:
     """Add name, coordinates and direction; at most one stop per report, none is dropped.
 
+    Columns in ``also`` are kept beside the 15 fields.
+
     ``lookup`` has ``stop_id``, ``stop_name``, ``stop_lat``, ``stop_lon`` as text with unique
     ids (``sources.stops.stop_lookup``). Keys are tried in order: the trimmed id, its upper
     case, then, if it ends with a letter, the id without that letter and its upper case.
@@ -197,7 +214,7 @@ def enrich_with_stops(
                      .withColumn("stop_lat", text.float_text(F.col("_stop.stop_lat")))
                      .withColumn("stop_lon", text.float_text(F.col("_stop.stop_lon")))
                      .withColumn("direction", direction_of(raw, by_suffix=by_suffix)))
-    return enriched.select(*[f.name for f in schemas.POSITIONS.fields])
+    return enriched.select(*[f.name for f in schemas.POSITIONS.fields], *also)
 
 
 def live_positions(
@@ -207,3 +224,22 @@ def live_positions(
     parsed = good_messages(parse_messages(messages, payload))
     reports = flatten_messages(parsed, vehicles_only=True)
     return enrich_with_stops(vehicle_positions(reports), lookup)
+
+
+def live_rows(
+    messages: DataFrame, lookup: DataFrame, payload: str = "value",
+    *, time_zone: str = constants.LOCAL_ZONE
+) -> DataFrame:
+    """The live chain with its rejects: ``kind`` is ``position`` or ``reject``.
+
+    Each payload is parsed once. A reject has its text in ``bad_payload`` and no other field.
+    ``service_date`` is the local date of the report, else of its message, as text; rows with
+    neither time have "none".
+    """
+    rows = flatten_messages(parse_messages(messages, payload), vehicles_only=True, keep_rejects=True)
+    rejected = F.col("bad_payload").isNotNull()
+    enriched = enrich_with_stops(rows.where(rejected | (F.col("current_status") != "")), lookup,
+                                 also=["bad_payload"])
+    local = F.from_utc_timestamp(F.coalesce("vehicle_timestamp", "feed_header_timestamp"), time_zone)
+    return (enriched.withColumn("kind", F.when(rejected, "reject").otherwise("position"))
+            .withColumn("service_date", F.coalesce(F.date_format(local, "yyyy-MM-dd"), F.lit("none"))))

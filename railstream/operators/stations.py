@@ -90,7 +90,12 @@ def idle_time(
 def positions_on_day(
     positions: DataFrame, service_date: str, *, tz: str = constants.LOCAL_ZONE
 ) -> DataFrame:
-    """Reports whose local date is ``service_date``; the range is pushed to the scan."""
+    """Reports whose local date is ``service_date``; the range is pushed to the scan.
+
+    In a table stored by ``service_date``, as the live job writes it, other days' files are skipped.
+    """
+    if "service_date" in positions.columns and tz == constants.LOCAL_ZONE:
+        positions = positions.where(F.col("service_date") == service_date)
     return positions.where(temporal.on_local_day(F.col("vehicle_timestamp"), service_date, tz))
 
 

@@ -27,16 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A table in a single file, cut up for work that is heavy per row; others as they are."""
-    if len(df.inputFiles()) == 1:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return df
+    """A table dealt out evenly, for work that is heavy per row."""
+    return df.hint("rebalance")
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a streaming source; the pattern also fits a table in a single file."""
+    """A given table as a streaming source, a file to a batch; also fits a table in a single file."""
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+            .parquet(f"{sf_dir}/{name}.parque[t]"))
 
 
 def instant(column: str) -> Column:

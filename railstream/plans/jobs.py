@@ -6,6 +6,8 @@ from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from railstream import constants, schemas
@@ -24,15 +26,49 @@ def run_live_feed(
     target: str,
     checkpoint: str,
     *,
+    files_per_trigger: int | None = None,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Landed feed messages -> enriched vehicle positions, appended to ``target``.
+    """Landed feed messages -> enriched vehicle positions and rejects, appended to ``target``.
 
-    The stop lookup is read when the query starts; a restart refreshes it.
+    One write, parted by ``kind`` and local ``service_date``; read it with ``live_table``. A
+    message that cannot be parsed is stored as a reject, from the same parse. The stop lookup
+    is read when the query starts; a restart refreshes it. ``files_per_trigger`` bounds a batch.
     """
-    live = feed.live_positions(read_feed_stream(spark, landing),
-                               read_stop_lookup(spark, stops_file))
-    return streams.append_stream(live, target, checkpoint, trigger=trigger, name="live_positions")
+    messages = read_feed_stream(spark, landing, files_per_trigger=files_per_trigger)
+    live = feed.live_rows(messages, read_stop_lookup(spark, stops_file))
+    return streams.append_stream(live, target, checkpoint, trigger=trigger, name="live_positions",
+                                 partition_by=["kind", "service_date"])
+
+
+def live_table(spark: SparkSession, target: str, kind: str = "position") -> DataFrame:
+    """Positions (with ``service_date``), or with ``kind="reject"`` the rejected payloads."""
+    rows = spark.read.schema(_LIVE).parquet(target).where(F.col("kind") == kind)
+    if kind == "reject":
+        return rows.select("bad_payload")
+    return rows.drop("kind", "bad_payload")
+
+
+_LIVE = T.StructType([*schemas.POSITIONS.fields,
+                      *(T.StructField(n, T.StringType()) for n in
+                        ("bad_payload", "kind", "service_date"))])
+
+
+def run_publish(
+    spark: SparkSession,
+    landing: str,
+    target: str | None,
+    checkpoint: str,
+    *,
+    sink: str = "text",
+    options: Mapping[str, str] | None = None,
+    files_per_trigger: int | None = None,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Landed raw messages -> messages with an envelope, published to ``sink``."""
+    messages = read_feed_stream(spark, landing, files_per_trigger=files_per_trigger)
+    return streams.publish_messages(feed.enveloped_json(messages.select("value")), target, checkpoint,
+                                    sink=sink, options=options, trigger=trigger)
 
 
 class HistoryLoad(NamedTuple):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,24 +20,38 @@ _ALL = {"availableNow": True}
 _CLOSING = "closing"
 
 
-def _with_closing_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stream of events and one row a day later, which lets the last window close."""
-    path = scratch_path(spark, "closing")
-    events = adapters.table(spark, sf_dir, "events")
-    (events.agg((F.max("ts") + F.expr("interval 1 day")).alias("ts"))
-           .select(*[F.col("ts") if f.name == "ts" else
-                     (F.lit(_CLOSING) if f.name == "event_type" else F.lit(None))
-                     .cast(f.dataType).alias(f.name) for f in events.schema.fields])
-           .write.parquet(path))
-    closing = spark.readStream.schema(events.schema).parquet(path)
-    return (adapters.stream(spark, sf_dir, "events").unionByName(closing)
-            .withColumn("publish_time", adapters.instant("ts")))
-
+def _closed(spark: SparkSession, sf_dir: str, label: str, make, log: bool = False):
+    """Run ``make(events)`` to the end, then once more on the same checkpoint for a row a day later.
 
-def _collected(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    The late row lets the last window close. It comes after all batches of the input, however
+    many, so no batch is late. Returns the rows, and the stored progress if ``log``.
+    """
+    path = scratch_path(spark, label)
+    events = adapters.table(spark, sf_dir, "events")
+    closing = (events.agg((F.max("ts") + F.expr("interval 1 day")).alias("ts"))
+               .select(*[F.col("ts") if f.name == "ts" else
+                         (F.lit(_CLOSING) if f.name == "event_type" else F.lit(None))
+                         .cast(f.dataType).alias(f.name) for f in events.schema.fields]))
+    closing.limit(0).write.parquet(f"{path}/closing")
+    later = spark.readStream.schema(events.schema).parquet(f"{path}/closing")
+    rows = make(adapters.stream(spark, sf_dir, "events").unionByName(later)
+                .withColumn("publish_time", adapters.instant("ts")))
+    name = f"{label}-{path[-12:]}"
+    with streams.ProgressLog(spark, f"{path}/progress", name) if log else nullcontext():
+        for turn in range(2):
+            if turn:
+                closing.write.mode("append").parquet(f"{path}/closing")
+            streams.finish(streams.append_stream(rows, f"{path}/rows", f"{path}/checkpoint",
+                                                 trigger=_ALL, name=name))
+    stored = spark.read.schema(rows.schema).parquet(f"{path}/rows")
+    return (stored, streams.progress_table(spark, f"{path}/progress")) if log else stored
+
+
+def _collected(spark: SparkSession, df: DataFrame, label: str, partition_by=()) -> DataFrame:
     """Append the stream to a fresh folder and read that back."""
     path = scratch_path(spark, label)
-    streams.finish(streams.append_stream(df, f"{path}/rows", f"{path}/checkpoint", trigger=_ALL))
+    streams.finish(streams.append_stream(df, f"{path}/rows", f"{path}/checkpoint", trigger=_ALL,
+                                         partition_by=partition_by))
     return spark.read.schema(df.schema).parquet(f"{path}/rows")
 
 
@@ -46,8 +62,8 @@ _WINDOWS_SQL = """SELECT to_timestamp(floor(epoch_us(ts) / 1000000 / 30) * 30) A
 
 @query("stream_windowed_counts", _WINDOWS_SQL)
 def stream_windowed_counts(spark, sf_dir):
-    counts = streams.windowed_counts(_with_closing_row(spark, sf_dir), keys=["event_type"])
-    rows = _collected(spark, counts, "windows")
+    rows = _closed(spark, sf_dir, "windows",
+                   lambda events: streams.windowed_counts(events, keys=["event_type"]))
     return adapters.plain(rows.where(F.col("event_type") != _CLOSING))
 
 
@@ -65,12 +81,13 @@ def stream_delta_counts(spark, sf_dir):
 
 
 @query("stream_assigned_windows", """SELECT event_id,
-  to_timestamp(floor(epoch_us(ts) / 1000000 / 30) * 30) AT TIME ZONE 'UTC' AS window_start
+  to_timestamp(floor(epoch_us(ts) / 1000000 / 30) * 30) AT TIME ZONE 'UTC' AS window_start,
+  to_timestamp(floor(epoch_us(ts) / 1000000 / 30) * 30 + 30) AT TIME ZONE 'UTC' AS window_end
 FROM events""")
 def stream_assigned_windows(spark, sf_dir):
     events = (adapters.stream(spark, sf_dir, "events")
               .withColumn("publish_time", adapters.instant("ts")))
-    rows = streams.assign_window(events).select("event_id", "window_start")
+    rows = streams.assign_window(events).select("event_id", "window_start", "window_end")
     return adapters.plain(_collected(spark, rows, "assigned"))
 
 
@@ -110,25 +127,41 @@ def stream_publish_messages(spark, sf_dir):
   'A' || user_id AS stop_id, date_trunc('second', ts) AS vehicle_timestamp,
   event_type AS current_status FROM events""")
 def stream_dedupe_positions(spark, sf_dir):
-    rows = _with_closing_row(spark, sf_dir).select(
+    """Every report comes in twice."""
+    rows = adapters.stream(spark, sf_dir, "events").withColumn(
+        "publish_time", adapters.instant("ts")).select(
         F.col("event_id").cast("string").alias("entity_id"),
         F.concat(F.lit("A"), F.col("user_id").cast("string")).alias("stop_id"),
         F.timestamp_seconds(F.unix_seconds("publish_time")).alias("vehicle_timestamp"),
-        F.col("event_type").alias("current_status"),
+        F.col("event_type").alias("current_status"), "publish_time",
         F.explode(F.array(F.lit(1), F.lit(2))).alias("poll"))
-    distinct = _collected(spark, streams.dedupe_positions(rows.drop("poll")), "distinct")
-    return adapters.plain(distinct.where(F.col("current_status") != _CLOSING)
-                          .select("entity_id", "stop_id", "vehicle_timestamp", "current_status"))
+    # The horizon covers the table: its files are not in the order of arrival.
+    distinct = _collected(spark, streams.dedupe_positions(rows, horizon="3650 days"), "distinct")
+    return adapters.plain(distinct.select("entity_id", "stop_id", "vehicle_timestamp",
+                                          "current_status"))
+
+
+@query("stream_rejects", """SELECT CASE WHEN event_id % 10 = 0 THEN 'reject' ELSE 'position' END
+  AS kind, count(*) AS n, sum(event_id) AS events FROM events GROUP BY ALL""")
+def stream_rejects(spark, sf_dir):
+    """Messages in, positions and rejects out of one write; every tenth is cut short."""
+    landing = scratch_path(spark, "landing")
+    events = adapters.table(spark, sf_dir, "events")
+    (adapters.messages(events).select(F.when(F.col("event_id") % 10 == 0, F.expr(
+        "left(value, length(value) - 1)")).otherwise(F.col("value")).alias("value"))
+     .write.text(landing))
+    lookup = stop_files.stop_lookup(adapters.stops(adapters.table(spark, sf_dir, "supplier")))
+    rows = _collected(spark, feed.live_rows(read_feed_stream(spark, landing, files_per_trigger=4),
+                                            lookup), "rejects", ["kind", "service_date"])
+    event = F.coalesce(F.substring("entity_id", 2, 20),
+                       F.regexp_extract("bad_payload", r'"id": ?"v(\d+)"', 1)).cast("bigint")
+    return rows.groupBy("kind").agg(F.count("*").alias("n"), F.sum(event).alias("events"))
 
 
 @query("stream_progress", """SELECT count(*) + 1 AS input_rows, 0 AS dropped_late_rows,
   date_trunc('milliseconds', max(ts)) + INTERVAL 1 DAY - INTERVAL 10 SECOND AS watermark FROM events""")
 def stream_progress(spark, sf_dir):
-    path = scratch_path(spark, "progress")
-    counts = streams.windowed_counts(_with_closing_row(spark, sf_dir))
-    done = streams.finish(streams.append_stream(counts, f"{path}/rows", f"{path}/checkpoint",
-                                                trigger=_ALL))
-    table = streams.progress_table(spark, done)
-    return adapters.plain(table.agg(F.sum("input_rows").alias("input_rows"),
-                                    F.sum("dropped_late_rows").alias("dropped_late_rows"),
-                                    F.max("watermark").alias("watermark")))
+    _, progress = _closed(spark, sf_dir, "progress", streams.windowed_counts, log=True)
+    return adapters.plain(progress.agg(F.sum("input_rows").alias("input_rows"),
+                                       F.sum("dropped_late_rows").alias("dropped_late_rows"),
+                                       F.max("watermark").alias("watermark")))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -29,13 +32,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for intermediate tables, under ``spark.checkpoint.dir``.
+def scratch_path(spark: SparkSession, label: str, base: str | None = None) -> str:
+    """A fresh path for intermediate tables, under ``base`` or ``spark.checkpoint.dir``.
 
-    Executors must be able to read it back after a loss, so a local temporary folder
-    is used only when the session names no shared one (single-machine runs).
+    Executors must be able to read it back after a loss. So without a named folder the call
+    fails, except where driver and executors are one process: then one temporary folder serves
+    the whole process and is removed with it. A named folder is cleared by whoever named it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = base or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="railstream-")
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _own_folder()
     return f"{base.rstrip('/')}/railstream/{label}-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="railstream-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

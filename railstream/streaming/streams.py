@@ -7,9 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
-from railstream.constants import STREAM_EVERY, STREAM_LATENESS, STREAM_WINDOW
+from railstream.constants import (
+    DEDUPE_HORIZON,
+    DEDUPE_SPREAD,
+    STREAM_EVERY,
+    STREAM_LATENESS,
+    STREAM_WINDOW,
+)
 
 # Fields that tell one report from another.
 REPORT_KEY = ("entity_id", "vehicle_timestamp", "stop_id")
@@ -72,22 +78,25 @@ def dedupe_positions(
     df: DataFrame,
     *,
     keys: Sequence[str] = REPORT_KEY,
-    ts: str = "vehicle_timestamp",
-    lateness: str = STREAM_LATENESS,
+    seen: str = "publish_time",
+    horizon: str = DEDUPE_HORIZON,
+    spread: int = DEDUPE_SPREAD,
 ) -> DataFrame:
-    """One row per distinct ``keys`` (which must include ``ts``); rows without a time pass unchanged.
+    """One row per distinct ``keys``, the first seen; a report repeated within ``horizon`` is left out.
+
+    The feed repeats a report until the next one, so the time a report was made says nothing
+    about when it comes in. Repeats and late rows are judged by ``seen``, the time of arrival:
+    a report that is minutes old is kept, in the batch that brings it. Only a row that arrives
+    more than ``horizon`` behind the newest arrival is dropped, and counted in the progress.
+    NULL keys are equal to each other; add a column to tell such rows apart.
 
-    The feed repeats a report until the next one. An aggregation drops the repeats already
-    before the shuffle, so a report repeated very often loads no single task; the row comes
-    out once its time is ``lateness`` in the past.
+    Repeats are first left out in ``spread`` parts, by a hash of their arrival time and values,
+    then among the parts: a report repeated very often loads no single task.
     """
-    if ts not in keys:
-        raise ValueError(f"keys must include {ts!r}")
-    rest = [c for c in df.columns if c not in keys]
-    timed = (df.where(F.col(ts).isNotNull()).withWatermark(ts, lateness)
-               .groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")))
-    return (timed.select(*keys, "_r.*").select(*df.columns)
-                 .unionByName(df.where(F.col(ts).isNull())))
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
+    return (df.withColumn("_part", part).withWatermark(seen, horizon)
+              .dropDuplicatesWithinWatermark([*keys, "_part"])
+              .dropDuplicatesWithinWatermark([*keys]).drop("_part"))
 
 
 def _trigger(trigger: Mapping[str, object] | None) -> dict:
@@ -146,6 +155,7 @@ def finish(query: StreamingQuery) -> StreamingQuery:
 
 
 _PROGRESS = T.StructType([
+    T.StructField("run_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
     T.StructField("input_rows", T.LongType()),
     T.StructField("watermark", T.StringType()),
@@ -154,14 +164,47 @@ _PROGRESS = T.StructType([
 ])
 
 
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent micro-batches of a query: input rows, watermark, newest event time, late rows dropped."""
-    rows = []
-    for p in query.recentProgress:
+class ProgressLog(StreamingQueryListener):
+    """Stores one row per micro-batch under ``path``, of the query named ``name`` or of all.
+
+    Use as a context manager around the run. A query itself remembers its last batches only.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, name: str | None = None) -> None:
+        self.spark, self.path, self.name = spark, path, name
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        # Events of the last batch may still be on their way.
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        self.spark.streams.removeListener(self)
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802  (the listener's own name)
+        p = event.progress
+        if self.name is not None and p.name != self.name:
+            return
         times = p.eventTime or {}
-        rows.append((p.batchId, p.numInputRows, times.get("watermark"), times.get("max"),
-                     sum(s.numRowsDroppedByWatermark for s in p.stateOperators)))
-    return (spark.createDataFrame(rows, _PROGRESS)
+        row = (str(p.runId), p.batchId, p.numInputRows, times.get("watermark"), times.get("max"),
+               sum(s.numRowsDroppedByWatermark for s in p.stateOperators))
+        (self.spark.createDataFrame([row], _PROGRESS).coalesce(1)
+             .write.mode("append").parquet(self.path))
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+def progress_table(spark: SparkSession, path: str) -> DataFrame:
+    """Every micro-batch in a ``ProgressLog``: input rows, watermark, newest event time, late rows dropped."""
+    return (spark.read.schema(_PROGRESS).parquet(path)
                  .withColumn("watermark", F.col("watermark").cast("timestamp"))
                  .withColumn("max_event_time", F.col("max_event_time").cast("timestamp"))
                  .withColumn("lag_seconds", F.unix_seconds("max_event_time")

@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,10 +168,12 @@ def test_strip_takes_any_white_space(spark):
 def test_lookup_file(spark, tmp_path):
     path = tmp_path / "stops.csv"
     path.write_text('stop_id,stop_name,stop_lat,stop_lon\n A01 ,"Main, ""North""",40.1,-74,x,y\n'
-                    "short,row\n\nSTOP_ID,a,b,c\nA02,Old,1,2\nA02,New,3,\n,Nameless,5,6\n")
+                    "short,row\n\nSTOP_ID,a,b,c\nA02,Old,1,2\nA02,New,3,\n,Nameless,5,6\n"
+                    'A05,Five,40.1,,1,P\n"A,6","a ""b"", c",,,\n"no,t",four,"x,y"\n')
     out = {r[0]: tuple(r)[1:] for r in stop_files.read_stop_lookup(spark, str(path)).collect()}
     assert out == {"A01": ('Main, "North"', "40.1", "-74"), "A02": ("New", "3", ""),
-                   "": ("Nameless", "5", "6")}
+                   "": ("Nameless", "5", "6"), "A05": ("Five", "40.1", ""),
+                   "A,6": ('a "b", c', "", "")}
 
 
 def test_stop_table_file(spark, tmp_path):
@@ -180,3 +183,17 @@ def test_stop_table_file(spark, tmp_path):
     out = [tuple(r) for r in stop_files.read_stops(spark, str(path)).orderBy("stop_id").collect()]
     assert out == [("A01", "Two\nlines", 40.5, -74.25, 1, None),
                    ("A01N", "x", None, None, None, "A01")]
+
+
+def test_stop_table_needs_ids(spark, tmp_path):
+    path = tmp_path / "stops.csv"
+    path.write_text("stop_id,stop_name,stop_lat,stop_lon,location_type,parent_station\n,x,,,,\n")
+    with pytest.raises(Exception, match="Row without stop_id"):
+        stop_files.read_stops(spark, str(path)).collect()
+
+
+def test_envelope_without_a_header_takes_the_current_time(spark):
+    before = int(time.time())
+    row = feed.add_envelope(spark.createDataFrame([('{"entity": []}',)], "value string")).first()
+    assert before <= row["event_timestamp_unix"] <= int(time.time()) + 1
+    assert row["unique_event_id"].startswith(f"{row['event_timestamp_unix']}-")

@@ -1,9 +1,11 @@
 import datetime as dt
 import json
 
+import pytest
 
 from railstream import schemas
 from railstream.operators import samples as ops
+from railstream.operators import stations
 from railstream.plans import jobs
 from tests.conftest import plan_of
 from tests.test_archives import pack
@@ -22,9 +24,24 @@ def test_live_feed(spark, tmp_path):
                                str(tmp_path / "out"), str(tmp_path / "cp"),
                                trigger={"availableNow": True})
     query.awaitTermination()
-    out = spark.read.schema(schemas.POSITIONS).parquet(str(tmp_path / "out")).collect()
-    assert [(r["entity_id"], r["stop_name"], r["direction"]) for r in out] == [
-        ("1", "One", "Southbound")]
+    positions = jobs.live_table(spark, str(tmp_path / "out"))
+    assert [(r["entity_id"], r["stop_name"], r["direction"], r["service_date"])
+            for r in positions.collect()] == [("1", "One", "Southbound", "2023-11-14")]
+    rejects = jobs.live_table(spark, str(tmp_path / "out"), "reject")
+    assert [r["bad_payload"] for r in rejects.collect()] == ["{bad"]
+    # Other days are skipped as files, also for the operators that take a date.
+    daily = stations.headway(positions, service_date="2023-11-14")
+    line = next(x for x in plan_of(daily).splitlines() if "PartitionFilters" in x)
+    assert "service_date" in line and "kind" in line
+
+
+def test_publish(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.txt").write_text('{"header": {"timestamp": "1700000000"}}\n')
+    jobs.run_publish(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"),
+                     files_per_trigger=1, trigger={"availableNow": True}).awaitTermination()
+    row = json.loads(spark.read.text(str(tmp_path / "out")).first()[0])
+    assert row["event_timestamp_unix"] == 1700000000 and row["unique_event_id"].startswith("1700000000-")
 
 
 def test_history(spark, tmp_path):
@@ -59,3 +76,19 @@ def test_scratch_is_under_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one != two and one.startswith(shared)
+
+
+class Elsewhere:
+    """A session of a cluster that names no shared folder."""
+
+    class conf:  # noqa: N801
+        @staticmethod
+        def get(key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from railstream import scratch_path
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Elsewhere, "x")
+    assert scratch_path(Elsewhere, "x", "/shared").startswith("/shared/")

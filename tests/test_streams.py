@@ -1,4 +1,3 @@
-import datetime as dt
 import json
 import os
 
@@ -42,13 +41,15 @@ def first_window(df):
 def test_late_rows(spark, tmp_path, files, count, dropped):
     land(tmp_path / "in", *files)
     counts = streams.windowed_counts(source(spark, tmp_path / "in"))
-    query = streams.finish(streams.append_stream(
-        counts, str(tmp_path / "out"), str(tmp_path / "cp"), trigger=ALL))
+    with streams.ProgressLog(spark, str(tmp_path / "log"), "late"):
+        streams.finish(streams.append_stream(
+            counts, str(tmp_path / "out"), str(tmp_path / "cp"), trigger=ALL, name="late"))
     assert first_window(spark.read.parquet(str(tmp_path / "out"))) == count
-    progress = streams.progress_table(spark, query)
+    progress = streams.progress_table(spark, str(tmp_path / "log"))
     total = progress.agg(F.sum("dropped_late_rows"), F.sum("input_rows")).first()
     assert tuple(total) == (dropped, sum(map(len, files)))
     assert progress.where("lag_seconds is not null").count() > 0
+    assert progress.count() >= len(files)
 
 
 def test_delta_counts_hold_each_row_once(spark, tmp_path):
@@ -69,21 +70,43 @@ def test_window_assignment_changes_no_row(spark, tmp_path):
     assert [r[0] for r in starts] == [0, 30, 30]
 
 
-def test_dedupe_across_batches(spark, tmp_path):
-    land(tmp_path / "in", [1, 1, 2], [1, 3], [300])
-    rows = source(spark, tmp_path / "in").select(
+def reports(spark, folder):
+    """The seconds of a file are the reports' own times; a file comes in an hour after the last."""
+    return source(spark, folder).select(
         F.col("k").alias("entity_id"), F.col("publish_time").alias("vehicle_timestamp"),
-        F.lit("s").alias("stop_id"), F.lit("x").alias("current_status"))
-    timeless = rows.withColumn("vehicle_timestamp", F.when(F.col("entity_id") != "2",
-                                                           F.col("vehicle_timestamp")))
-    for name, df, expected in (("a", rows, ["1", "2", "3"]), ("b", timeless, ["1", "2", "3"])):
-        streams.finish(streams.append_stream(
-            streams.dedupe_positions(df), str(tmp_path / f"{name}o"), str(tmp_path / f"{name}cp"),
-            trigger=ALL))
-        out = spark.read.parquet(str(tmp_path / f"{name}o")).where("entity_id <> '300'")
-        assert sorted(r["entity_id"] for r in out.collect()) == expected
-    with pytest.raises(ValueError, match="vehicle_timestamp"):
-        streams.dedupe_positions(rows, keys=["entity_id"])
+        F.lit("s").alias("stop_id"), F.lit("x").alias("current_status"),
+        F.col("_metadata.file_modification_time").alias("publish_time"))
+
+
+def test_dedupe_keeps_reports_that_are_minutes_old(spark, tmp_path):
+    land(tmp_path / "in", [100, 160], [400], [401], [200, 400], [500], [9999])
+    rows = streams.dedupe_positions(reports(spark, tmp_path / "in"), horizon="1 day")
+    streams.finish(streams.append_stream(rows, str(tmp_path / "o"), str(tmp_path / "cp"), trigger=ALL))
+    out = spark.read.parquet(str(tmp_path / "o")).collect()
+    assert sorted(int(r["entity_id"]) for r in out) == [100, 160, 200, 400, 401, 500, 9999]
+    # The first seen is the one that stays.
+    first = {r["entity_id"]: r["publish_time"] for r in out}
+    assert first["400"] < first["401"] < first["200"] < first["500"]
+
+
+def test_dedupe_forgets_after_the_horizon(spark, tmp_path):
+    land(tmp_path / "in", [1, 1, 1], [2], [3], [4], [1])
+    rows = streams.dedupe_positions(reports(spark, tmp_path / "in"), horizon="30 minutes")
+    streams.finish(streams.append_stream(rows, str(tmp_path / "o"), str(tmp_path / "cp"), trigger=ALL))
+    out = spark.read.parquet(str(tmp_path / "o"))
+    assert sorted(r["entity_id"] for r in out.collect()) == ["1", "1", "2", "3", "4"]
+
+
+def test_default_trigger(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    query = streams.append_stream(source(spark, tmp_path / "in"), str(tmp_path / "o"),
+                                  str(tmp_path / "cp"))
+    try:
+        land(tmp_path / "in", [1, 2])
+        query.processAllAvailable()
+        assert query.isActive and spark.read.parquet(str(tmp_path / "o")).count() == 2
+    finally:
+        query.stop()
 
 
 def test_stream_gives_what_the_batch_gives(spark, tiny, tmp_path):
@@ -117,6 +140,6 @@ def test_publish_time_of_a_landing_folder(spark, tmp_path):
     os.utime(path, (1_700_000_000,) * 2)
     rows = read_feed_stream(spark, str(tmp_path / "in"))
     streams.finish(streams.append_stream(rows, str(tmp_path / "o"), str(tmp_path / "cp"), trigger=ALL))
-    row = spark.read.parquet(str(tmp_path / "o")).first()
-    assert row["publish_time"].replace(tzinfo=dt.timezone.utc).timestamp() > 0
-    assert row["value"] == "{}"
+    row = spark.read.parquet(str(tmp_path / "o")).select(
+        "value", F.unix_seconds("publish_time").alias("at")).first()
+    assert tuple(row) == ("{}", 1_700_000_000)
