@@ -1,10 +1,12 @@
 """N-gram Jaccard self-join with adaptive multi-match prefixes, and its connected documents.
 
-A document is the set of its distinct word shingles, in one global order. If two sets of at least
-a tokens in common are needed, then for every l up to a, the first |x| - a + l tokens of both share
-l tokens. A longer prefix meets more documents but asks for more shared tokens. So each document
-picks its own l: the one with the least estimated cost, from the exact lengths of the posting lists
-of its prefix tokens. A pair uses the larger l of the two.
+A document is the set of its distinct word shingles, in one global order. If sets x and y link, they
+have at least a = ceil(p (|x| + |y|) / (1 + p)) tokens in common, and for every l up to a, the first
+|x| - a + l tokens of x and |y| - a + l of y share l tokens. A longer prefix meets more documents but
+asks for more shared tokens. So each document picks its own l: the one with the least estimated
+cost, from the exact lengths of the posting lists of its prefix tokens. A pair uses the larger l of
+the two, and its own a: in a group of texts that nearly link, tokens of one text alone fill the
+prefixes, and pairs of them are not even listed.
 
 Rare tokens come first in the order. Shingles that come in many documents are found in one pass with
 bounded summaries that merge, and only move a token's place; results do not depend on them.
@@ -135,24 +137,28 @@ def signatures(docs: DataFrame, frequent: dict, words: int = WORDS, percent: int
             .mapInArrow(run, "doc_id long, n long, d1 long, d2 long, prefix array<long>"))
 
 
+def _common(n, m, percent: int):
+    """Tokens that sets of sizes n and m need in common."""
+    return F.ceil((n + m) * percent / (100 + percent))
+
+
 def postings(sets: DataFrame, percent: int = PERCENT, levels: int = LEVELS) -> DataFrame:
-    """(token, rep, n, level, entries, leader, l) of the prefix tokens that two sets share at least.
+    """(token, rep, n, place, entries, leader, l) of the prefix tokens that two sets share at least.
 
-    ``level`` is the least l whose prefix has the token, ``entries`` the token's number of sets,
-    ``leader`` its first set, ``l`` the set's choice.
+    ``place`` is the token's place in the set's order, from 0, ``entries`` its number of sets,
+    ``leader`` its first set, ``l`` the set's choice. The estimate is made for sets of equal size.
     """
-    spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
     flat = sets.select("rep", "n", F.posexplode("prefix").alias("place", "token"))
     token = Window.partitionBy("token")
-    shared = (flat.select("token", "rep", "n",
-                          F.greatest(F.lit(1), F.col("place") - spare + 1).cast("int").alias("level"))
-              .withColumn("entries", F.count("*").over(token))
+    shared = (flat.withColumn("entries", F.count("*").over(token))
               .withColumn("leader", F.min(F.struct("rep", "n")).over(token))
               .filter("entries > 1"))
     own = Window.partitionBy("rep")
+    free = F.col("n") - _common(F.col("n"), F.col("n"), percent)
     cost = []
     for level in range(1, levels + 1):
-        met = F.coalesce(F.sum(F.when(F.col("level") <= level, F.col("entries") - 1)).over(own), F.lit(0))
+        inside = F.when(F.col("place") < free + level, F.col("entries") - 1)
+        met = F.coalesce(F.sum(inside).over(own), F.lit(0))
         # At most met / l documents can be met l times.
         estimate = met + met / level * (VERIFY_FIXED + VERIFY_SHINGLE * F.col("n"))
         allowed = F.lit(level) <= F.ceil(F.col("n") * percent / 100)
@@ -259,16 +265,18 @@ def links_between(entries: DataFrame, grouped: DataFrame, texts: DataFrame, word
             .withColumn("component", F.coalesce("component", "rep"))
             .withColumn("low", F.min("component").over(token))
             .withColumn("high", F.max("component").over(token))
-            .filter("low < high").select("token", "rep", "n", "level", "l", "component"))
+            .filter("low < high").select("token", "rep", "n", "place", "l", "component"))
     rows = stored(rows, "mixed-postings")
     one, two = (rows.select("token", *(F.col(c).alias(f"{c}_{side}") for c in
-                                       ("rep", "n", "level", "l", "component")))
+                                       ("rep", "n", "place", "l", "component")))
                 for side in ("a", "b"))
     least = F.greatest("l_a", "l_b")
+    common = _common(F.col("n_a"), F.col("n_b"), percent)
     met = (one.join(two, "token")
            .filter((F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
                    & _sizes_allow(F.col("n_a"), F.col("n_b"), percent)
-                   & (F.col("level_a") <= least) & (F.col("level_b") <= least))
+                   & (F.col("place_a") < F.col("n_a") - common + least)
+                   & (F.col("place_b") < F.col("n_b") - common + least))
            .groupBy(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), least.alias("least"))
            .agg(F.count("*").alias("shared")).filter("shared >= least"))
     return verified(met.select("a", "b"), texts, words, percent)
