@@ -93,11 +93,18 @@ def month_load_report(spark, sf_dir):
 
 
 @query("month_files", """SELECT strftime(o_orderdate, '%Y-%m') AS year_month,
-  'feed_' || strftime(o_orderdate, '%Y-%m') || '_stop_times.csv' AS file_name
-FROM orders GROUP BY ALL""")
+  'feed_' || strftime(o_orderdate, '%Y-%m') || '_stop_times.csv' AS file_name,
+  CAST(sum(length(o_orderkey::VARCHAR) + 4) AS BIGINT) AS bytes FROM orders GROUP BY ALL""")
 def month_files(spark, sf_dir):
-    files = archives.month_files(spark, _order_files(spark, sf_dir))
-    return files.select("year_month", "file_name").distinct()
+    """Bytes of order keys alone: prices are written differently by the two engines."""
+    root = scratch_path(spark, "keys")
+    (adapters.order_lines(adapters.table(spark, sf_dir, "orders"))
+     .where(archives.is_data_file(F.col("file_name")))
+     .select("year_month", "file_name", F.concat(
+         F.substring_index("value", ",", 1), F.lit(",x,")).alias("value"))
+     .write.partitionBy("year_month", "file_name").text(root))
+    return (archives.month_files(spark, root).groupBy("year_month", "file_name")
+            .agg(F.sum("bytes").alias("bytes")))
 
 
 @query("monthly_row_counts", """SELECT year(l_shipdate) AS year, month(l_shipdate) AS month,
@@ -113,6 +120,7 @@ SELECT service_date FROM days WHERE service_date NOT IN (
   SELECT CAST({nyc("ts")} AS DATE) FROM events
   WHERE event_type = 'purchase' AND hour({nyc("ts")}) = 3)""", dates=("service_date",))
 def day_spine_missing(spark, sf_dir):
+    """Only some events stand for loaded days, so that there are gaps to find."""
     from railstream.functions import temporal
 
     events = adapters.table(spark, sf_dir, "events")
@@ -136,10 +144,46 @@ def archive_expand(spark, sf_dir):
                         fields[0].cast("bigint").alias("event_id"), fields[1].alias("event_type"))
 
 
-@query("archive_status", """SELECT 'DECOMPRESSED' AS status, CAST(ts AS DATE) AS service_date,
-  true AS has_data FROM events GROUP BY ALL""", dates=("service_date",))
+_DAYS = """SELECT CAST(ts AS DATE) AS service_date, count(*) AS n,
+  CAST(sum(1 + length(concat_ws(',', event_id, event_type))) AS BIGINT) AS line_bytes
+FROM events GROUP BY ALL"""
+
+
+def _day_report(spark, sf_dir):
+    packed = adapters.packed_days(adapters.table(spark, sf_dir, "events"))
+    return archives.expansion_report(archives.expand_archives(packed))
+
+
+@query("archive_status", f"""SELECT 'DECOMPRESSED' AS status, service_date,
+  true AS two_members_each, line_bytes FROM ({_DAYS})""", dates=("service_date",))
 def archive_status(spark, sf_dir):
+    """A day may be split over several archives; each adds two members and twelve bytes of its own."""
+    report = _day_report(spark, sf_dir)
+    own = len("id,kind\n") + len("id\n1\n")
+    return report.groupBy("status", F.col("service_date").cast("date").alias("service_date")).agg(
+        (F.min("csv_files") == 2).alias("two_members_each"),
+        (F.sum("bytes") - F.count("*") * F.lit(own)).alias("line_bytes"))
+
+
+@query("archive_status_tally", f"""SELECT 'DECOMPRESSED' AS status, count(*) AS items,
+  CAST(sum(line_bytes) AS BIGINT) AS bytes FROM ({_DAYS})""")
+def archive_status_tally(spark, sf_dir):
+    own = len("id,kind\n") + len("id\n1\n")
+    days = (_day_report(spark, sf_dir).groupBy("service_date", "status")
+            .agg((F.sum("bytes") - F.count("*") * F.lit(own)).alias("bytes")))
+    return archives.status_tally(days)
+
+
+@query("archive_day_status", """SELECT CAST(ts AS DATE) AS service_date,
+  CASE WHEN day(ts) % 2 = 0 THEN 'SKIPPED' ELSE 'DECOMPRESSED' END AS status FROM events GROUP BY ALL""",
+       dates=("service_date",))
+def archive_day_status(spark, sf_dir):
+    """Archives of even days are there already: skipped, the others expanded."""
     packed = adapters.packed_days(adapters.table(spark, sf_dir, "events"))
-    report = archives.expansion_report(archives.expand_archives(packed))
-    return report.select("status", F.col("service_date").cast("date").alias("service_date"),
-                         ((F.col("csv_files") >= 2) & (F.col("bytes") > 0)).alias("has_data"))
+    days = packed.select(F.col("path").alias("archive"),
+                         archives.file_date(F.col("path")).alias("service_date"))
+    even = F.day(F.col("service_date").cast("date")) % 2 == 0
+    skipped = archives.skipped_archives(days, days.where(even).select("service_date"))
+    new = packed.where(F.day(archives.file_date(F.col("path")).cast("date")) % 2 != 0)
+    report = archives.expansion_report(archives.expand_archives(new)).unionByName(skipped)
+    return report.select(F.col("service_date").cast("date").alias("service_date"), "status").distinct()

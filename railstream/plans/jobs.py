@@ -12,9 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from railstream import constants, schemas
 from railstream.operators import feed, samples
+from railstream.session import scratch_path
 from railstream.sources import archives
 from railstream.sources.feed_stream import read_feed_stream
-from railstream.sources.stops import read_stop_lookup
+from railstream.sources.stops import read_stop_lookup, read_stops
 from railstream.sources.tables import replace_table
 from railstream.streaming import streams
 
@@ -87,15 +88,73 @@ def load_history(
     last_month: str,
     max_bad: int = constants.MAX_BAD_RECORDS,
 ) -> HistoryLoad:
-    """Archives -> month folders -> ``target`` by month; the reports are computed on use."""
-    expanded = archives.expand_archives(archives.read_archives(spark, archive_path))
+    """Archives -> month folders -> ``target`` by month; reports come from the stored tables.
+
+    Archives of days that have files in ``month_root`` are skipped, without being read. Only the
+    months from ``first_month`` to ``last_month`` are opened and loaded.
+    """
+    names = archives.archive_names(spark, archive_path)
+    present = _days(spark, month_root)
+    skipped = replace_table(archives.skipped_archives(names, present),
+                            scratch_path(spark, "skipped"), as_path=True)
+    # One path for each new day.
+    new = [r[0] for r in names.join(skipped.select("archive"), "archive", "left_anti")
+           .select("archive").orderBy("archive").collect()]
+    expanded = archives.expand_archives(archives.read_archives(spark, new))
     archives.write_month_files(expanded, month_root)
-    rows = archives.read_months(spark, month_root, schemas.SENSOR_DATA)
-    archives.append_months(rows, target, max_bad=max_bad)
-    months = archives.month_outcomes(
-        archives.month_spine(spark, first_month, last_month),
-        archives.month_files(spark, month_root), rows, max_bad=max_bad)
-    return HistoryLoad(archives.expansion_report(expanded), months, archives.load_report(months))
+    expansion = archives.expansion_report(expanded).unionByName(skipped)
+    spine = archives.month_spine(spark, first_month, last_month)
+    if not _has_files(spark, month_root):
+        files = spark.createDataFrame([], "year_month string, file_name string, bytes bigint")
+        rows = spark.createDataFrame([], "year_month string, bad_record boolean")
+    else:
+        files = archives.month_files(spark, month_root)
+        rows = archives.append_months(
+            archives.read_months(spark, month_root, schemas.SENSOR_DATA, months=spine), target,
+            max_bad=max_bad)
+    months = archives.month_outcomes(spine, files, rows, max_bad=max_bad)
+    return HistoryLoad(expansion, months, archives.load_report(months))
+
+
+def _has_files(spark: SparkSession, root: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _days(spark: SparkSession, month_root: str) -> DataFrame:
+    """Days that have data files in the month folders."""
+    if not _has_files(spark, month_root):
+        return spark.createDataFrame([], "service_date string")
+    return (archives.month_files(spark, month_root)
+            .select(archives.file_date(F.col("file_name")).alias("service_date")).distinct())
+
+
+def load_training_input(
+    spark: SparkSession,
+    month_root: str,
+    stops_file: str,
+    target: str,
+    *,
+    first_month: str,
+    last_month: str,
+    max_bad: int = constants.MAX_BAD_RECORDS,
+) -> DataFrame:
+    """Stop observations and trips of the month folders, and a stop file -> ``schemas.STOP_TIMES``.
+
+    Stored under ``target`` and returned; the input of ``build_training_tables``. A month whose
+    files of either kind have too many bad records is left out of that kind.
+    """
+    spine = archives.month_spine(spark, first_month, last_month)
+
+    def accepted(schema: T.StructType, wanted) -> DataFrame:
+        rows = archives.read_months(spark, month_root, schema, months=spine, wanted=wanted)
+        parsed = replace_table(rows, scratch_path(spark, "parsed"), as_path=True)
+        return archives.accepted_rows(parsed, max_bad=max_bad)
+
+    trips = accepted(schemas.TRIPS, archives.is_trips_file).dropDuplicates(["trip_uid"])
+    seen = accepted(schemas.SENSOR_DATA, archives.is_data_file)
+    return replace_table(samples.build_raw_stop_times(seen, trips, read_stops(spark, stops_file)),
+                         target, as_path=True)
 
 
 class TrainingTables(NamedTuple):

@@ -79,6 +79,14 @@ SENSOR_DATA = T.StructType([
     T.StructField("marked_past", T.TimestampType()),
 ])
 
+# Trips as found in the monthly CSV files.
+TRIPS = T.StructType([
+    T.StructField("trip_uid", T.StringType(), nullable=False),
+    T.StructField("start_time_dts", T.TimestampType()),
+    T.StructField("route_id", T.StringType()),
+    T.StructField("direction", T.StringType()),
+])
+
 # Input of the training-data steps: stop times with trip and stop attributes.
 STOP_TIMES = T.StructType([
     T.StructField("trip_uid", T.StringType()),

@@ -7,7 +7,7 @@ import itertools
 import lzma
 import sys
 import tarfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import BinaryIO
 
 import pyarrow as pa
@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from railstream import constants, schemas
 from railstream.functions import temporal
+from railstream.session import scratch_path
+from railstream.sources.tables import replace_table
 
 # Python workers get the functions below by value: they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -25,6 +27,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Rows handed to Spark at a time while an archive is being read.
 _LINES_PER_BATCH = 10_000
 
+# Longest value that a row can hold.
+_LARGEST_ARCHIVE = 2_147_483_632
+
 _LINES = T.StructType([
     T.StructField("archive", T.StringType()),
     T.StructField("file_name", T.StringType()),
@@ -49,10 +54,34 @@ def is_data_file(name: Column) -> Column:
     return name.endswith(".csv") & ~name.endswith("_trips.csv")
 
 
-def read_archives(spark: SparkSession, path: str, pattern: str = "*.tar.xz") -> DataFrame:
-    """Archive files as ``path`` and ``content``, one row per file."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-                 .load(path).select("path", "content"))
+def is_trips_file(name: Column) -> Column:
+    """CSV files with trips."""
+    return name.endswith("_trips.csv")
+
+
+def read_archives(spark: SparkSession, path: str | Sequence[str],
+                  pattern: str = "*.tar.xz") -> DataFrame:
+    """Archive files as ``path`` and ``content``, one row per file, or of a list of files.
+
+    A file is one value of a row, so the content is held in memory and ends at 2 GiB. Larger
+    files are not read: their content is NULL, and expanding them gives an error row.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    if not isinstance(path, str) and not path:
+        return spark.createDataFrame([], "path string, content binary")
+    small = files.load(path).where(F.col("length") <= _LARGEST_ARCHIVE).select("path", "content")
+    large = files.load(path).where(F.col("length") > _LARGEST_ARCHIVE)
+    return small.unionByName(large.select("path", F.lit(None).cast("binary").alias("content")))
+
+
+def archive_names(spark: SparkSession, path: str, pattern: str = "*.tar.xz") -> DataFrame:
+    """Archive files by name only: ``archive`` and ``service_date``. No content is read."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+            .select(F.col("path").alias("archive"), _date_of_path(F.col("path")).alias("service_date")))
+
+
+def _date_of_path(path: Column) -> Column:
+    return file_date(F.element_at(F.split(path, "/"), -1))
 
 
 def _members(content: bytes) -> Iterator[tuple[str, int, BinaryIO]]:
@@ -73,25 +102,24 @@ def _rows(n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
 
 
-def _archive_rows(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
-    """Rows of one archive: the lines of each member and its size, at the end the archive's own."""
+def _archive_rows(path: str, content: bytes | None) -> Iterator[pa.RecordBatch]:
+    """Rows of one archive as they are read: the lines of each member and its size, at the end
+    the archive's own. An archive that cannot be read to its end has an error in its last row."""
     try:
-        # An archive counts only as a whole, so it is read to its end before any row is made.
-        for _, _, member in _members(content):
-            while member.read(1 << 20):
-                pass
+        if content is None:
+            raise ValueError("archive is larger than a row can hold")
+        for name, size, member in _members(content):
+            number = 1
+            while chunk := list(itertools.islice(member, _LINES_PER_BATCH)):
+                lines = [raw.decode("utf-8", "replace").rstrip("\r\n") for raw in chunk]
+                yield _rows(len(lines), archive=path, file_name=name, line=lines,
+                            line_no=range(number, number + len(lines)))
+                number += len(lines)
+            yield _rows(1, archive=path, file_name=name, file_bytes=size)
     except (tarfile.TarError, lzma.LZMAError, EOFError, OSError, ValueError) as problem:
         yield _rows(1, archive=path, error=str(problem) or type(problem).__name__)
-        return
-    for name, size, member in _members(content):
-        number = 1
-        while chunk := list(itertools.islice(member, _LINES_PER_BATCH)):
-            lines = [raw.decode("utf-8", "replace").rstrip("\r\n") for raw in chunk]
-            yield _rows(len(lines), archive=path, file_name=name, line=lines,
-                        line_no=range(number, number + len(lines)))
-            number += len(lines)
-        yield _rows(1, archive=path, file_name=name, file_bytes=size)
-    yield _rows(1, archive=path)
+    else:
+        yield _rows(1, archive=path)
 
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,21 +128,31 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _archive_rows(path.as_py(), content.as_py())
 
 
-def expand_archives(archives: DataFrame) -> DataFrame:
+def expand_archives(archives: DataFrame, staging: str | None = None) -> DataFrame:
     """``path``, ``content`` -> the text lines of all CSV members, with their date and month.
 
     Besides lines (``line_no`` from 1, the header being 1) there is a row per member with
     its size and a row per archive, which holds the error of an unreadable one; both have
-    ``line`` NULL. An archive is the unit of work: it is decompressed as a stream by one
-    task, and its lines go out in small batches.
+    ``line`` NULL. An archive is the unit of work: it is decompressed once, as a stream, by one
+    task, and its lines are stored under ``staging`` (or in the scratch folder) as they come. An
+    archive counts only as a whole: the lines of one that turned out unreadable are left out.
     """
-    return (archives.select("path", "content").mapInArrow(_expand, _LINES)
-            .withColumn("service_date", file_date(F.element_at(F.split("archive", "/"), -1)))
+    spark = archives.sparkSession
+    rows = replace_table(archives.select("path", "content").mapInArrow(_expand, _LINES),
+                         staging or scratch_path(spark, "expanded"), as_path=True)
+    # One short text for each unreadable archive.
+    failed = (rows.where(F.col("error").isNotNull())
+              .agg(F.collect_set("archive").alias("archives")).scalar())
+    return (rows.where(F.col("error").isNotNull() | ~F.array_contains(failed, F.col("archive")))
+            .withColumn("service_date", _date_of_path(F.col("archive")))
             .withColumn("year_month", F.substring("service_date", 1, 7)))
 
 
 def expansion_report(expanded: DataFrame) -> DataFrame:
-    """Per archive: date, ``DECOMPRESSED`` or ``DECOMPRESS_ERROR``, members, bytes, message."""
+    """Per archive: date, ``DECOMPRESSED`` or ``DECOMPRESS_ERROR``, members, bytes, message.
+
+    ``skipped_archives`` has the same columns for those that were not expanded.
+    """
     return (expanded.where(F.col("line").isNull())
             .groupBy("archive", "service_date")
             .agg(F.when(F.max("error").isNull(), "DECOMPRESSED")
@@ -124,6 +162,14 @@ def expansion_report(expanded: DataFrame) -> DataFrame:
                  F.max("error").alias("message")))
 
 
+def skipped_archives(names: DataFrame, present: DataFrame) -> DataFrame:
+    """Report rows, status ``SKIPPED``, of the archives whose day is in ``present`` already."""
+    return (names.join(present.select("service_date").distinct(), "service_date", "left_semi")
+            .select("archive", "service_date", F.lit("SKIPPED").alias("status"),
+                    F.lit(0).cast("bigint").alias("csv_files"), F.lit(0).cast("bigint").alias("bytes"),
+                    F.lit(None).cast("string").alias("message")))
+
+
 def status_tally(report: DataFrame) -> DataFrame:
     """Number of items and bytes per status."""
     return report.groupBy("status").agg(F.count(F.lit(1)).alias("items"),
@@ -152,7 +198,9 @@ def _member_of(path: Column) -> Column:
     return F.when(stored != "", stored).otherwise(F.element_at(F.split(path, "/"), -1))
 
 
-def month_files(spark: SparkSession, root: str) -> DataFrame:
+def month_files(
+    spark: SparkSession, root: str, wanted: Callable[[Column], Column] = is_data_file
+) -> DataFrame:
     """Data files under ``root`` by month: ``year_month``, ``file_name``, ``bytes``.
 
     Month folders may be named ``YYYY-MM`` or ``year_month=YYYY-MM``. File contents are
@@ -162,7 +210,16 @@ def month_files(spark: SparkSession, root: str) -> DataFrame:
              .select(_month_of(F.col("path")).alias("year_month"),
                      _member_of(F.col("path")).alias("file_name"),
                      F.col("length").alias("bytes")))
-    return files.where((F.col("year_month") != "") & is_data_file(F.col("file_name")))
+    return files.where((F.col("year_month") != "") & wanted(F.col("file_name")))
+
+
+def month_folders(spark: SparkSession, root: str, months: DataFrame) -> list[str]:
+    """Folders of those ``months`` that have one; at most two names for each month."""
+    folder = F.regexp_extract("path", r"^(.*/(?:year_month=)?\d{4}-\d{2})/", 1)
+    return [r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+            .select(folder.alias("folder"), _month_of(F.col("path")).alias("year_month"))
+            .where("folder <> ''").distinct().join(months, "year_month", "left_semi")
+            .select("folder").orderBy("folder").collect()]
 
 
 def _typed(raw: Column, field: T.StructField) -> Column:
@@ -178,23 +235,28 @@ def read_months(
     root: str,
     schema: T.StructType = schemas.SENSOR_DATA,
     *,
-    months: Sequence[str] | None = None,
+    months: DataFrame | None = None,
     header: bool = True,
+    wanted: Callable[[Column], Column] = is_data_file,
 ) -> DataFrame:
     """CSV rows of all month folders, with ``year_month`` and the flag ``bad_record``.
 
+    With ``months`` (column ``year_month``) only the folders of these are opened. ``wanted``
+    chooses files by name.
+
     Missing trailing fields become NULL, surplus fields are dropped. A record is bad when a
     value does not fit its type or a required one is missing.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     path = F.col("_metadata.file_path")
-    raw = (spark.read.schema(text).option("header", header).option("enforceSchema", True)
-           .option("mode", "PERMISSIVE").option("escape", "\"").option("recursiveFileLookup", True).csv(root)
-           .withColumn("year_month", _month_of(path))
-           .withColumn("_member", _member_of(path))
-           .where((F.col("year_month") != "") & is_data_file(F.col("_member"))))
-    if months is not None:
-        raw = raw.where(F.col("year_month").isin(*months))
+    folders = root if months is None else month_folders(spark, root, months)
+    reader = (spark.read.schema(text).option("header", header).option("enforceSchema", True)
+              .option("mode", "PERMISSIVE").option("escape", "\"").option("recursiveFileLookup", True))
+    files = (reader.csv(folders).withColumn("year_month", _month_of(path))
+             .withColumn("_member", _member_of(path)) if folders else
+             spark.createDataFrame([], T.StructType([
+                 *text.fields, *(T.StructField(n, T.StringType()) for n in ("year_month", "_member"))])))
+    raw = files.where((F.col("year_month") != "") & wanted(F.col("_member")))
     bad = F.lit(False)
     for f in schema.fields:
         if not isinstance(f.dataType, T.StringType):
@@ -223,11 +285,20 @@ def accepted_rows(rows: DataFrame, *, max_bad: int = constants.MAX_BAD_RECORDS)
                 .drop("bad_record"))
 
 
-def append_months(rows: DataFrame, target: str, *, max_bad: int = constants.MAX_BAD_RECORDS) -> None:
-    """Store accepted rows by month. A month loaded again replaces itself."""
-    (accepted_rows(rows, max_bad=max_bad)
+def append_months(
+    rows: DataFrame, target: str, *, max_bad: int = constants.MAX_BAD_RECORDS,
+    staging: str | None = None
+) -> DataFrame:
+    """Store accepted rows by month. A month loaded again replaces itself.
+
+    The files are parsed once, into a table with the flag under ``staging`` (or in the scratch
+    folder), which is returned: bad records are counted in it, and reports are made from it.
+    """
+    parsed = replace_table(rows, staging or scratch_path(rows.sparkSession, "parsed"), as_path=True)
+    (accepted_rows(parsed, max_bad=max_bad).hint("rebalance", "year_month")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year_month").parquet(target))
+    return parsed
 
 
 def month_outcomes(

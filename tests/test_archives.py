@@ -58,8 +58,53 @@ def test_months_fail_and_reload_one_by_one(spark, tmp_path):
         "2023-12": ("empty", 0, 0), "2024-01": ("success", 1, 0), "2024-02": ("failed", 0, 2)}
     report = {r["status"]: tuple(r)[1:] for r in archives.load_report(outcomes).collect()}
     assert report["success"] == (1, 1, "2024-01")
-    only = archives.read_months(spark, str(source), FILE, months=["2024-01"])
-    assert only.count() == 1
+    spine = archives.month_spine(spark, "2023-12", "2024-01")
+    only = archives.read_months(spark, str(source), FILE, months=spine)
+    assert only.count() == 1 and not any("2024-02" in f for f in only.inputFiles())
+    nothing = archives.read_months(spark, str(source), FILE,
+                                   months=archives.month_spine(spark, "2020-01", "2020-02"))
+    assert nothing.count() == 0 and nothing.columns == only.columns
+
+
+def test_files_are_parsed_once(spark, tmp_path):
+    month_file(tmp_path / "in", "2024-01/x_stop_times.csv", "1,x,2024-01-01 00:00:00", "bad,,")
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = archives.read_months(spark, str(tmp_path / "in"), FILE)
+    counted = rows.mapInArrow(seen, rows.schema)
+    parsed = archives.append_months(counted, str(tmp_path / "out"))
+    files = archives.month_files(spark, str(tmp_path / "in"))
+    outcome = archives.month_outcomes(archives.month_spine(spark, "2024-01", "2024-01"), files, parsed)
+    assert tuple(outcome.first()) == ("2024-01", "success", 1, 1)
+    assert read.value == 2
+
+
+def test_archives_are_expanded_once(spark, tmp_path):
+    pack(tmp_path / "feed_2024-01-31_csv.tar.xz", {"a_2024-01-31_stop_times.csv": "h\n1\n"})
+    opened = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            opened.add(batch.num_rows)
+            yield batch
+
+    given = archives.read_archives(spark, str(tmp_path))
+    expanded = archives.expand_archives(given.mapInArrow(seen, given.schema))
+    archives.write_month_files(expanded, str(tmp_path / "months"))
+    assert archives.expansion_report(expanded).first()["bytes"] == 4
+    assert expanded.where("line is not null").count() == 2 and opened.value == 1
+
+
+def test_too_large_archives_are_reported(spark):
+    given = spark.createDataFrame([("raw/feed_2024-01-31_csv.tar.xz", None)], "path string, content binary")
+    row = archives.expansion_report(archives.expand_archives(given)).first()
+    assert (row["status"], row["service_date"]) == ("DECOMPRESS_ERROR", "2024-01-31")
+    assert "larger" in row["message"]
 
 
 def test_archives_become_month_folders(spark, tmp_path):

@@ -44,18 +44,65 @@ def test_publish(spark, tmp_path):
     assert row["event_timestamp_unix"] == 1700000000 and row["unique_event_id"].startswith("1700000000-")
 
 
-def test_history(spark, tmp_path):
-    (tmp_path / "raw").mkdir()
+def day_archive(folder, day, *lines, trips=()):
     header = ",".join(schemas.SENSOR_DATA.fieldNames())
-    pack(tmp_path / "raw" / "feed_2024-01-31_csv.tar.xz", {
-        "feed_2024-01-31_stop_times.csv": f"{header}\nt,A01,1,2024-01-31 10:00:00,,,\nt,A02,1,x,,,\n"})
-    done = jobs.load_history(spark, str(tmp_path / "raw"), str(tmp_path / "months"),
-                             str(tmp_path / "out"), first_month="2024-01", last_month="2024-02")
+    head = ",".join(schemas.TRIPS.fieldNames())
+    pack(folder / f"feed_{day}_csv.tar.xz", {
+        f"feed_{day}_stop_times.csv": "\n".join([header, *lines]) + "\n",
+        f"feed_{day}_trips.csv": "\n".join([head, *trips]) + "\n"})
+
+
+def test_history(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    day_archive(raw, "2024-01-31", "t,A01,1,2024-01-31 10:00:00,,,", "t,A02,1,x,,,")
+    day_archive(raw, "2024-03-01", "t,A01,1,2024-03-01 10:00:00,,,")
+
+    def load():
+        return jobs.load_history(spark, str(raw), str(tmp_path / "months"), str(tmp_path / "out"),
+                                 first_month="2024-01", last_month="2024-02")
+
+    done = load()
+    # March is expanded but not loaded.
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
     assert {(r["year_month"], r["status"], r["bad_rows"]) for r in done.months.collect()} == {
         ("2024-01", "success", 1), ("2024-02", "empty", 0)}
-    assert done.expansion.first()["status"] == "DECOMPRESSED"
+    assert [r["status"] for r in done.expansion.collect()] == ["DECOMPRESSED"] * 2
     assert done.report.count() == 2
+    # Days that are there are not read again; this one could not be.
+    (raw / "feed_2024-01-31_csv.tar.xz").write_bytes(b"broken")
+    day_archive(raw, "2024-02-01", "t,A01,1,2024-02-01 10:00:00,,,")
+    again = load()
+    assert {r["service_date"]: r["status"] for r in again.expansion.collect()} == {
+        "2024-01-31": "SKIPPED", "2024-03-01": "SKIPPED", "2024-02-01": "DECOMPRESSED"}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_history_without_archives(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    done = jobs.load_history(spark, str(tmp_path / "raw"), str(tmp_path / "months"),
+                             str(tmp_path / "out"), first_month="2024-01", last_month="2024-01")
+    assert done.expansion.count() == 0
+    assert [r["status"] for r in done.months.collect()] == ["empty"]
+
+
+def test_history_feeds_the_training_tables(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for day in range(10, 21):
+        stops = [f"t{day},S{i},1,2024-01-{day} 15:{i:02}:00,,," for i in range(7)]
+        day_archive(raw, f"2024-01-{day}", *stops, f",S1,1,2024-01-{day} 15:00:00,,,",
+                    trips=[f"t{day},2024-01-{day} 15:00:00,E,S", ",,E,S"])
+    (tmp_path / "stops.csv").write_text(
+        "stop_id,stop_name,stop_lat,stop_lon,location_type,parent_station\n"
+        + "".join(f"S{i},{'X' if i in (5, 6) else 'Y'},40.5,-73.5,0,\n" for i in range(7)))
+    months = {"first_month": "2024-01", "last_month": "2024-01"}
+    jobs.load_history(spark, str(raw), str(tmp_path / "months"), str(tmp_path / "out"), **months)
+    rows = jobs.load_training_input(spark, str(tmp_path / "months"), str(tmp_path / "stops.csv"),
+                                    str(tmp_path / "input"), **months)
+    assert rows.count() == 77 and rows.columns == schemas.STOP_TIMES.fieldNames()
+    tables = jobs.build_training_tables(rows, str(tmp_path / "t"), target_stop="X")
+    assert (tables.prepared.count(), tables.samples.count()) == (77, 22)
 
 
 def test_training_tables(spark, tmp_path):
