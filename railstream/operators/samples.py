@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from railstream import constants, schemas
 from railstream.constants import FEATURES
 from railstream.functions import temporal
-from railstream.functions.slices import HOME, SLICE, with_halo
+from railstream.functions.slices import HOME, SLICE, in_blocks, with_halo, with_previous
 
 # Copies of one row written out by a single task (see prepare_stop_times).
 _COPIES_PER_TASK = 1_000_000
@@ -44,7 +44,7 @@ def prepare_stop_times(
     route_id: str = constants.SAMPLE_ROUTE,
     direction: str = constants.SAMPLE_DIRECTION,
     tz: str = constants.LOCAL_ZONE,
-    slice_s: int = 3600,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Number the stops of each trip by arrival and add gap and calendar features.
 
@@ -52,65 +52,32 @@ def prepare_stop_times(
     Ties are ordered by stop id, then by the remaining columns.
 
     Numbering is done in two levels, so that no task holds a whole trip: identical rows are
-    counted first, each (trip, time slice) is ordered by itself, and a small table with one
-    row per slice adds the number of rows before it and the last arrival before it.
+    counted first, the counted rows are stored in ``blocks`` by trip and order, each block is
+    ordered by itself, and one small row per block adds the number of rows before it and the
+    last arrival before it (see ``functions.slices``). Copies become rows again at the end, in
+    lots of bounded size that are spread over tasks.
     """
     names = [f.name for f in schemas.STOP_TIMES.fields]
     wanted = stop_times.where(
         (F.col("route_id") == route_id) & (F.col("direction") == direction)
         & F.col("arrival_time").isNotNull()
         & F.col("stop_lat").isNotNull() & F.col("stop_lon").isNotNull()).select(*names)
-    # NULL trips are numbered as one trip. The slice keys are never NULL, so that joins on
-    # them add no filter to one branch and the counted rows are shuffled only once.
-    trip = ["_trip", "_no_trip"]
-    keys = [F.coalesce("trip_uid", F.lit("")).alias("_trip"),
-            F.col("trip_uid").isNull().alias("_no_trip"),
-            F.coalesce(F.floor(F.unix_seconds("arrival_time") / F.lit(slice_s)),
-                       F.lit(0).cast("bigint")).alias(SLICE)]
-    counted = wanted.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).select("*", *keys)
-    by_trip = Window.partitionBy(*trip).orderBy(SLICE)
-    earlier = (Window.unboundedPreceding, -1)
-    slices = (counted.groupBy(*trip, SLICE)
-              .agg(F.sum("_n").alias("_rows"), F.max("arrival_time").alias("_last"),
-                   F.max("_n").alias("_most"))
-              .select(*trip, SLICE, "_most",
-                      F.sum("_rows").over(by_trip.rowsBetween(*earlier)).alias("_before"),
-                      F.lag("_last").over(by_trip).alias("_last_before")))
-
+    counted = wanted.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
     rest = [n for n in names if n not in ("trip_uid", "arrival_time", "stop_id")]
-    order = Window.partitionBy(*trip, SLICE).orderBy("arrival_time", "stop_id", *rest)
-    # The window comes before the join: its sort order serves both.
-    ordered = counted.select(
-        "*", F.sum("_n").over(order.rowsBetween(*earlier)).alias("_inside"),
-        F.lag("arrival_time").over(order).alias("_lag"))
-    first = F.coalesce("_before", F.lit(0)) + F.coalesce("_inside", F.lit(0)) + 1
-
-    def numbered(part: DataFrame) -> DataFrame:
-        return ordered.join(part, [*trip, SLICE]).select(
-            *names, "_n", "_most", first.alias("_first"),
-            F.coalesce("_lag", "_last_before").alias("_previous"))
-
-    # Copies of one row become rows again. Very many are spread over tasks in blocks; slices
-    # without such rows drop out of this branch before they are sorted.
-    # (``_n`` never exceeds ``_most``; naming it keeps both branches' slice tables the same.)
-    few = (numbered(slices)
-           .where(F.col("_n") <= F.least(F.lit(_COPIES_PER_TASK), F.col("_most")))
-           .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1))
-                   .alias("_copy")))
-    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / _COPIES_PER_TASK))
-    start = F.col("_block") * _COPIES_PER_TASK
+    keys, order = ["trip_uid"], ["arrival_time", "stop_id", *rest]
+    numbered = with_previous(in_blocks(counted, keys, order, blocks=blocks), keys, order, "_n")
+    lots = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / _COPIES_PER_TASK))
+    start = F.col("_lot") * _COPIES_PER_TASK
     stop = F.least(start + _COPIES_PER_TASK, F.col("_n")) - 1
-    many = (numbered(slices.where(F.col("_most") > _COPIES_PER_TASK))
-            .where(F.col("_n") > _COPIES_PER_TASK)
-            .select("*", F.explode(blocks).alias("_block"))
-            .repartition("trip_uid", "_first", "_block")
-            .select("*", F.explode(F.sequence(start, stop)).alias("_copy")).drop("_block"))
+    copies = (numbered.select(*names, "_n", "_previous", (F.col("_before") + 1).alias("_first"),
+                              F.explode(lots).alias("_lot")).hint("rebalance")
+              .select("*", F.explode(F.sequence(start, stop)).alias("_copy")))
 
     arrival, local = F.col("arrival_time"), F.col("arrival_time_nyc")
     before = F.when(F.col("_copy") == 0, F.col("_previous")).otherwise(arrival)
     gap = temporal.whole_units("SECOND", arrival, before) / F.lit(60.0)
     hour, day = F.hour(local), F.dayofweek(local)
-    return (few.unionByName(many)
+    return (copies
             .select(*names, temporal.wall_clock(arrival, tz).alias("arrival_time_nyc"),
                     (F.col("_first") + F.col("_copy")).alias("stop_sequence"),
                     gap.alias("minutes_since_prev_stop"))

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railstream import constants
 from railstream.functions import temporal
-from railstream.functions.slices import HOME, SLICE, slice_width, with_halo
-
-# Shortest slice in seconds (see railstream.functions.slices).
-_MIN_SLICE_S = 1800
+from railstream.functions.slices import in_blocks, with_previous
+from railstream.session import scratch_path
+from railstream.sources.tables import replace_table
 
 
 def idle_time(
@@ -26,7 +25,7 @@ def idle_time(
     compare: str = "local",
     carry: bool = False,
     order_by: str = "text",
-    slice_s: int | None = None,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Mean time between consecutive reports of a train at one station, as ``M:SS``.
 
@@ -35,9 +34,8 @@ def idle_time(
     ``compare="instant"`` treats only equal instants as repeats, which differs in the hour
     that occurs twice when clocks go back. ``order_by`` is ``text`` or ``seconds``.
 
-    Identical reports are counted before the shuffle, and a (station, trip, date) group is
-    cut into time slices: only gaps up to ``max_gap_s`` matter, so a slice needs no more
-    than that from its predecessor.
+    Identical reports are counted before the shuffle, and a large (station, trip, date) group is
+    cut into ``blocks`` of the data (see ``functions.slices``), whatever the cap.
     """
     if compare not in ("local", "instant"):
         raise ValueError("compare must be 'local' or 'instant'")
@@ -50,26 +48,16 @@ def idle_time(
                    .agg(F.count(F.lit(1)).alias("copies"))
                    .withColumn("trip_date", temporal.local_date(ts, tz)))
 
-    near = max_gap_s + 1
-    reach = F.lit(near)
-    if compare == "local":
-        # Reports one repeated hour apart show the same local time.
-        reach = F.greatest(reach, temporal.repeated_seconds(F.col("trip_date"), tz) + 1)
-    width = slice_s or slice_width(near, _MIN_SLICE_S)
-    sliced = with_halo(reports, F.unix_seconds(ts), reach, width)
-
-    order = (Window.partitionBy("stop_name", "trip_id", "trip_date", SLICE)
-                   .orderBy("vehicle_timestamp", "stop_lat", "stop_lon"))
-    previous = F.col("previous")
+    keys, order = ("stop_name", "trip_id", "trip_date"), ("vehicle_timestamp", "stop_lat", "stop_lon")
+    lagged = with_previous(in_blocks(reports, keys, order, blocks=blocks), keys, order)
+    previous = F.col("_previous")
     if compare == "local":
         # Same local date, so equal wall clocks are equal times of day.
         same = temporal.wall_clock(ts, tz) == temporal.wall_clock(previous, tz)
     else:
         same = ts == previous
-    gaps = (sliced.withColumn("previous", F.lag("vehicle_timestamp").over(order))
-                  .where(HOME)
-                  .withColumn("gap", F.when(same, repeat_s)
-                              .otherwise(temporal.whole_units("SECOND", ts, previous))))
+    gaps = lagged.withColumn("gap", F.when(same, repeat_s)
+                             .otherwise(temporal.whole_units("SECOND", ts, previous)))
     # The first copy of a report has the gap before it, each further copy is a repeat.
     first = F.col("gap") <= max_gap_s
     repeats = F.col("copies") - 1 if repeat_s <= max_gap_s else F.lit(0).cast("bigint")
@@ -120,7 +108,7 @@ def headway(
     tz: str = constants.LOCAL_ZONE,
     dedupe_ties: bool = False,
     approximate_trips: bool = False,
-    slice_s: int | None = None,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Mean whole minutes between consecutive arrivals, and trips seen, per station.
 
@@ -134,21 +122,20 @@ def headway(
     over all dates they are counted distinct (or ``approximate_trips``).
     """
     arrivals = first_arrivals(positions, service_date=service_date, tz=tz)
+    if service_date is None:
+        # Used twice.
+        arrivals = replace_table(arrivals, scratch_path(positions.sparkSession, "arrivals"), as_path=True)
     instants = (arrivals.groupBy("stop_name", "event_date", "trip_arrival_time")
                         .agg(F.count(F.lit(1)).cast("double").alias("k"),
                              F.count("trip_id").alias("named")))
-    near = (max_minutes + 1) * 60
-    sliced = with_halo(instants, F.unix_seconds("trip_arrival_time"), F.lit(near),
-                       slice_s or slice_width(near, _MIN_SLICE_S))
-    order = Window.partitionBy("stop_name", "event_date", SLICE).orderBy("trip_arrival_time")
-    minutes = temporal.whole_units("MINUTE", F.col("trip_arrival_time"), F.col("previous"))
+    keys, order = ("stop_name", "event_date"), ("trip_arrival_time",)
+    lagged = with_previous(in_blocks(instants, keys, order, blocks=blocks), keys, order)
+    minutes = temporal.whole_units("MINUTE", F.col("trip_arrival_time"), F.col("_previous"))
     passes = F.col("minutes") <= max_minutes
     weight = F.lit(1.0) if dedupe_ties else F.col("k")
     ties = F.lit(0.0) if dedupe_ties or max_minutes < 0 else F.col("k") * (F.col("k") - 1)
     weighed = (
-        sliced.withColumn("previous", F.lag("trip_arrival_time").over(order))
-              .where(HOME)
-              .withColumn("minutes", minutes)
+        lagged.withColumn("minutes", minutes)
               .withColumn("n", F.when(passes, weight).otherwise(0.0) + ties)
               .where("n > 0")
               .withColumn("total", F.when(passes, F.col("minutes") * weight).otherwise(0.0)))

@@ -79,7 +79,7 @@ def test_context(spark, method):
 
 def test_context_across_slices(spark):
     prepared = ops.prepare_stop_times(stop_times(spark, trip_of(40, set(range(1, 41, 3)))),
-                                      slice_s=240)
+                                      blocks=9)
     whole = ops.context_windows(prepared, target_stop="X").orderBy("target_sequence").collect()
     assert len(whole) == 12
     for size in (1, 3, 7):
@@ -108,12 +108,12 @@ def numbered_in_spark(spark, events, **options):
     return ops.prepare_stop_times(adapters.stop_times(df), **options)
 
 
-@pytest.mark.parametrize("slice_s", [3600, 400000])
-def test_numbering_equals_the_defining_sql_under_skew(spark, slice_s, monkeypatch):
+@pytest.mark.parametrize("blocks", [3, 40])
+def test_numbering_equals_the_defining_sql_under_skew(spark, blocks, monkeypatch):
     # a small block size sends the copies through the branch for very many copies
-    monkeypatch.setattr(ops, "_COPIES_PER_TASK", 7 if slice_s == 3600 else 1000)
+    monkeypatch.setattr(ops, "_COPIES_PER_TASK", 7 if blocks == 3 else 1000)
     events = skewed_events()
-    ours = numbered_in_spark(spark, events, slice_s=slice_s)
+    ours = numbered_in_spark(spark, events, blocks=blocks)
     columns = ["trip_uid", "stop_sequence", "stop_id", "minutes_since_prev_stop", "hour_of_day"]
     with duckdb.connect() as db:
         db.register("events", events)
@@ -130,7 +130,7 @@ def test_no_window_holds_a_whole_trip(spark):
     plan = plan_of(numbered_in_spark(spark, skewed_events()), "simple")
     windows = [line for line in plan.splitlines() if "Window [" in line and "arrival_time" in line
                and "lag(arrival_time" in line]
-    assert windows and all("_slice" in line for line in windows)
+    assert windows and all("_block" in line for line in windows)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 

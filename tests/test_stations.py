@@ -62,10 +62,10 @@ def test_idle_when_clocks_go_back(spark):
     # both 01:30 in New York
     twice = reports(spark, ["2025-11-02T05:30:00", "2025-11-02T06:30:00"])
     assert idle_text(twice) == "1:00"
-    assert idle_text(twice, slice_s=60) == "1:00"
+    assert idle_text(twice, blocks=3) == "1:00"
     assert idle_text(twice, compare="instant") is None
     # a report in between makes it two gaps, both too long
-    assert idle_text(twice.union(reports(spark, ["2025-11-02T06:20:00"])), slice_s=60) is None
+    assert idle_text(twice.union(reports(spark, ["2025-11-02T06:20:00"])), blocks=3) is None
 
 
 def test_idle_filters(spark):
@@ -121,21 +121,21 @@ def in_spark(spark, frame):
         [(*r[:4], r[4].to_pydatetime().replace(tzinfo=UTC), r[5]) for r in rows], SCHEMA)
 
 
-@pytest.mark.parametrize(("cap", "slice_s"), [(300, None), (300, 400), (3600, 500)])
-def test_idle_equals_the_defining_sql_under_skew(spark, cap, slice_s):
+@pytest.mark.parametrize(("cap", "blocks"), [(300, None), (300, 40), (3600, 7)])
+def test_idle_equals_the_defining_sql_under_skew(spark, cap, blocks):
     frame = skewed_positions(cap)
-    ours = stations.idle_time(in_spark(spark, frame), max_gap_s=cap, slice_s=slice_s).collect()
+    ours = stations.idle_time(in_spark(spark, frame), max_gap_s=cap, blocks=blocks).collect()
     with duckdb.connect() as db:
         db.register("p", frame)
         theirs = db.execute(_idle_sql("SELECT * FROM p", cap)).fetchall()
     assert sorted(tuple(r) for r in ours) == sorted(theirs)
 
 
-@pytest.mark.parametrize(("cap", "slice_s", "day"), [
-    (20, None, None), (2, 100, None), (20, 700, "2025-11-01"), (60, 900, "2025-11-02")])
-def test_headway_equals_the_defining_join_under_skew(spark, cap, slice_s, day):
+@pytest.mark.parametrize(("cap", "blocks", "day"), [
+    (20, None, None), (2, 9, None), (20, 3, "2025-11-01"), (60, 30, "2025-11-02")])
+def test_headway_equals_the_defining_join_under_skew(spark, cap, blocks, day):
     frame = skewed_positions(cap)
-    ours = stations.headway(in_spark(spark, frame), max_minutes=cap, slice_s=slice_s,
+    ours = stations.headway(in_spark(spark, frame), max_minutes=cap, blocks=blocks,
                             service_date=day).collect()
     with duckdb.connect() as db:
         db.register("p", frame)
@@ -169,3 +169,22 @@ def test_repeated_seconds(spark):
     days = spark.createDataFrame([("2025-11-02",), ("2025-03-09",), ("2025-06-01",)], "d string")
     out = days.select(temporal.repeated_seconds(F.to_date("d"))).collect()
     assert [r[0] for r in out] == [3600, 0, 0]
+
+
+def test_one_station_minute_is_cut_by_the_data(spark):
+    """A third of all rows in one minute of one station, at microsecond times."""
+    from railstream.functions import slices
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("stop"),
+        F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.when(F.col("id") % 3 == 0, F.col("id") * 6000)
+                           .otherwise(F.col("id") * 10_000_000)).alias("at"), F.lit(1).alias("w"))
+    stored = slices.in_blocks(rows, ["stop"], ["at"], blocks=12)
+    sizes = [r["n"] for r in stored.groupBy("_block").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 12 and max(sizes) <= 2 * sorted(sizes)[6]
+    got = slices.with_previous(stored, ["stop"], ["at"], "w")
+    from pyspark.sql import Window
+    order = Window.partitionBy("stop").orderBy("at")
+    expected = rows.withColumn("_previous", F.lag("at").over(order)).withColumn(
+        "_before", F.row_number().over(order) - 1)
+    columns = ["stop", "at", "_previous", "_before"]
+    assert got.select(columns).exceptAll(expected.select(columns)).count() == 0
