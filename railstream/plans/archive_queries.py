@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from railstream import schemas
 from railstream.constants import MAX_BAD_RECORDS
 from railstream.plans import adapters
 from railstream.plans.registry import nyc, query
@@ -187,3 +188,18 @@ def archive_day_status(spark, sf_dir):
     new = packed.where(F.day(archives.file_date(F.col("path")).cast("date")) % 2 != 0)
     report = archives.expansion_report(archives.expand_archives(new)).unionByName(skipped)
     return report.select(F.col("service_date").cast("date").alias("service_date"), "status").distinct()
+
+
+_FIELDS = """[{"name": "event_id", "type": "INTEGER", "mode": "REQUIRED", "description": "key"},
+  {"name": "ts", "type": "TIMESTAMP"}, {"name": "event_type", "type": "STRING"}]"""
+
+
+@query("schema_from_fields", """SELECT event_id, ts, event_type FROM events""")
+def schema_from_fields(spark, sf_dir):
+    """Events written as JSON text and read back with a schema made from a list of fields."""
+    root = scratch_path(spark, "fields")
+    schema = schemas.from_json_fields(_FIELDS)
+    (adapters.table(spark, sf_dir, "events").withColumn("ts", adapters.instant("ts"))
+     .select(*schema.fieldNames())
+     .write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(root))
+    return adapters.plain(spark.read.schema(schema).json(root))

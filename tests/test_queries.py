@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
+from railstream.plans.catalog import CHECKS, QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -30,7 +31,7 @@ def rows_of(frame):
     return sorted(tuple(map(text, r)) for r in frame.astype(object).itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, tiny, db, name):
     ours = driver.queries()[name](spark, tiny).toPandas()
     assert len(ours) > 0
@@ -41,3 +42,26 @@ def test_query_equals_its_sql(spark, tiny, db, name):
 
 def test_entry_has_rows(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(CHECKS) and set(QUERIES) <= set(driver.queries())
+    assert set(CHECKS) <= set(driver.oracle_sql()) <= set(driver.queries())
+
+
+@pytest.mark.parametrize(("name", "order"), [
+    ("idle_time_by_station", "avg_idle_time_m_s DESC, stop_name"),
+    ("headway_by_station", "average_min_difference_between_trains DESC, stop_name"),
+    ("busiest_stations_top10", "total_arrivals DESC, stop_name"),
+    *((f"{split}_split_read", "trip_date, trip_uid, target_sequence")
+      for split in ("train", "val", "test"))])
+def test_order_of_ordered_queries(spark, tiny, db, name, order):
+    ours = driver.queries()[name](spark, tiny)
+    rows = ours.collect()
+    inner = CHECKS[name] if "split" in name else f"SELECT * FROM ({CHECKS[name]})"
+    theirs = db.execute(f"{inner} ORDER BY {order}").df()[ours.columns].astype(object)
+    assert len(rows) == len(theirs)
+    for mine, other in zip(rows, theirs.itertuples(index=False)):
+        for a, b in zip(mine, other):
+            missing = b is None or b != b
+            assert (a is None) if missing else (a == pytest.approx(b) if isinstance(a, float) else a == b)
