@@ -30,7 +30,7 @@ END_ID = 2
 SLACK = 0.02
 LANES = 256
 # Words whose ids a worker process keeps; later ones are encoded again.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                 "class int, lane int")
@@ -113,7 +113,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: float =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids_of(path)
         end = np.asarray([END_ID], "<u4").tobytes()
-        for batch, texts in text_blocks(batches, "text", 4 << 20):
+        for batch, texts in text_blocks(batches, "text", 1 << 20):
             runs = [t.split() for t in texts.to_pylist()]
             found = known.learn(runs)
             out: list[list] = [[] for _ in range(7)]

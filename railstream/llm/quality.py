@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railstream.llm.blocks import Words, text_blocks
-from railstream.llm.store import stored
+from railstream.llm.store import rejoined, stored
 
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
@@ -57,9 +57,11 @@ def _repeated(words: Words) -> np.ndarray:
 
 
 def measures(docs: DataFrame, text_col: str = "text", groups: tuple[str, ...] = ("lang", "source"),
-             carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+             carry: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
     """Counts and measures of each row, its groups as text, and ``row`` with the columns to carry.
 
+    ``with_text`` keeps the text beside them.
+
     Carried columns stay inside ``row``, so their names cannot clash with those made here.
     """
 
@@ -76,12 +78,12 @@ def measures(docs: DataFrame, text_col: str = "text", groups: tuple[str, ...] =
                 [*names, *_COUNTS])
 
     keys = [f"group_{i}" for i in range(len(groups))]
-    names = ["row", *keys]
+    names = ["row", *keys, *(["text"] if with_text else [])]
     read = [(F.struct(*carry) if carry else F.lit(0)).alias("row"), F.col(text_col).alias("text"),
             *(F.col(g).cast("string").alias(k) for g, k in zip(groups, keys))]
     docs = docs.select(read)
     schema = ", ".join([f"row {docs.schema['row'].dataType.simpleString()}",
-                        *(f"{k} string" for k in keys), *(f"{c} long" for c in _COUNTS)])
+                        *(f"{k} string" for k in names[1:]), *(f"{c} long" for c in _COUNTS)])
     words = F.greatest("n_words", F.lit(1))
     return (docs.mapInArrow(run, schema)
             .withColumns({
@@ -142,5 +144,7 @@ def passing(docs: DataFrame, fence: float = FENCE, text_col: str = "text",
     """
     limits = stored(thresholds(measures(docs, text_col, groups, ()), fence, n_groups=len(groups)),
                     "thresholds")
-    rows = measures(docs, text_col, groups, tuple(docs.columns))
-    return _judge(rows, limits, len(groups)).filter("kept").select("row.*")
+    others = tuple(c for c in docs.columns if c != text_col)
+    rows = measures(docs, text_col, groups, others, with_text=True)
+    return (_judge(rows, limits, len(groups)).filter("kept")
+            .select(rejoined(docs.columns, text_col)))

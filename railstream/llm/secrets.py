@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railstream.llm.blocks import text_blocks
+from railstream.llm.store import rejoined
 
 KINDS = ("assign", "access", "hex")
 # Bytes that one compressed run may expand to. Beyond it the run is counted as unread, not cut.
@@ -325,5 +326,4 @@ def redacted(docs: DataFrame, text_col: str = "text", limit: int = EXPANDED_BYTE
     read = docs.select((F.struct(*others) if others else F.lit(0)).alias("row"),
                        F.col(text_col).alias("text"))
     got = read.mapInArrow(run, f"row {read.schema['row'].dataType.simpleString()}, text string")
-    return got.select(*(F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c)
-                        for c in cols))
+    return got.select(rejoined(cols, text_col))

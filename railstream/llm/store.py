@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from railstream.session import scratch_path
 
@@ -21,3 +22,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def rejoined(columns: list[str], text_col: str) -> list[Column]:
+    """The given columns in their order, from ``text`` and the struct ``row`` with the others."""
+    return [(F.col("text") if c == text_col else F.col("row")[c]).alias(c) for c in columns]

@@ -22,7 +22,7 @@ from railstream.llm.wordsplit import tokenizer_path
 
 SPACE_MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
 
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
@@ -101,7 +101,7 @@ def counted(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _LOADED:
             _LOADED[path] = Counter(vocabulary(path))
-        for batch, texts in text_blocks(batches, "text", 4 << 20):
+        for batch, texts in text_blocks(batches, "text", 1 << 20):
             words = [t.split() for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(map(len, words), pa.int64()),

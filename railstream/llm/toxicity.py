@@ -12,7 +12,6 @@ each different word before them, so a text with many copies counts as one.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railstream.llm.blocks import text_blocks
+from railstream.llm.store import rejoined
 
 # Bound of the labelled sample that is collected for training, in texts of each class.
 TOXIC_TEXTS = 2_500
-ORDINARY_TEXTS = 7_500
+ORDINARY_TEXTS = 5_000
 FOLDS = 5
 
 WINDOW = 64
@@ -43,12 +43,18 @@ WINDOW_TAIL = 0.001
 _WORD = regex.compile(rb"[^\s\x21-\x40\x5b-\x60\x7b-\x7e]+")
 
 
-def _contexts(texts: list[bytes]) -> Counter:
-    pairs = set()
-    for text in texts:
-        words = _WORD.findall(text)
-        pairs.update(zip([b"", *words], words))
-    return Counter(word for _, word in pairs)
+def _contexts(texts: list[bytes]) -> dict[bytes, int]:
+    """Number of different words that come before each word."""
+    numbers: dict[bytes, int] = {b"": 0}
+    seen = np.zeros(0, np.int64)
+    for at in range(0, len(texts), 500):
+        parts = [seen]
+        for text in texts[at:at + 500]:
+            words = np.array([0, *(numbers.setdefault(w, len(numbers)) for w in _WORD.findall(text))])
+            parts.append(words[:-1] << 32 | words[1:])
+        seen = np.unique(np.concatenate(parts))
+    counts = np.bincount(seen & 0xFFFFFFFF, minlength=len(numbers))
+    return dict(zip(numbers, counts.tolist()))
 
 
 def _dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
@@ -58,7 +64,7 @@ def _dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, byt
 
     def own(mine: int, other: int) -> bytes:
         words = [w for w, n in counts[mine].items() if n >= MIN_CONTEXTS
-                 and n * totals[other] >= MIN_RATIO * (counts[other][w] + 1) * totals[mine]]
+                 and n * totals[other] >= MIN_RATIO * (counts[other].get(w, 0) + 1) * totals[mine]]
         words.sort(key=lambda w: (counts[mine][w], w))
         return b" ".join(words)[-CLASS_BYTES:]
 
@@ -203,8 +209,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text",
-          carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``row`` with the columns to carry, and the score of each row's whole text.
+          carry: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
+    """``row`` with the columns to carry, the score of each row's whole text, and the text if asked.
 
     A missing text scores as an empty one. Repeated rows score alike; an empty table gives no
     rows. Carried columns stay inside ``row``, so their names cannot clash with ``score``.
@@ -213,15 +219,18 @@ def score(docs: DataFrame, model: Model, text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches, "text"):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(model.scores(_plain(texts)), pa.float64())],
-                ["row", "score"])
+                [batch.column(c) for c in kept] + [pa.array(model.scores(_plain(texts)), pa.float64())],
+                [*kept, "score"])
 
+    kept = ["row", "text"] if with_text else ["row"]
     docs = docs.select((F.struct(*carry) if carry else F.lit(0)).alias("row"),
                        F.col(text_col).alias("text"))
-    return docs.mapInArrow(run, f"row {docs.schema['row'].dataType.simpleString()}, score double")
+    return docs.mapInArrow(run, f"row {docs.schema['row'].dataType.simpleString()}, "
+                                + "text string, " * with_text + "score double")
 
 
 def accepted(docs: DataFrame, model: Model, limit: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows whose score is below ``limit``, with the columns of ``docs``."""
-    scored = score(docs, model, text_col, tuple(docs.columns))
-    return scored.filter(F.col("score") < limit).select("row.*")
+    others = tuple(c for c in docs.columns if c != text_col)
+    scored = score(docs, model, text_col, others, with_text=True)
+    return scored.filter(F.col("score") < limit).select(rejoined(docs.columns, text_col))
