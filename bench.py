@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -26,18 +28,21 @@ HEADLINE = (
     "prepare_stop_times", "context_windows", "context_windows_join", "context_matrix",
     "split_counts", "train_split_read", "shuffled_samples",
     "monthly_row_counts", "tolerant_csv_load", "archive_expand",
-    "stream_windowed_counts", "stream_live_positions", "stream_dedupe_positions",
+    "stream_windowed_counts", "stream_live_positions", "stream_dedupe_positions", "stream_rejects",
 )
 
 
 def main(names: list[str]) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    scratch = tempfile.mkdtemp(prefix="bench-")
     spark = configure(
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # One machine: driver and executors share this folder.
+        .config("spark.checkpoint.dir", scratch)
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate())
@@ -60,6 +65,7 @@ def main(names: list[str]) -> None:
                       "unit": "sec", "queries": seconds,
                       "sf": os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")}))
     spark.stop()
+    shutil.rmtree(scratch, ignore_errors=True)
 
 
 if __name__ == "__main__":

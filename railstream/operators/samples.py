@@ -16,9 +16,9 @@ from railstream.functions.slices import HOME, SLICE, in_blocks, with_halo, with_
 _COPIES_PER_TASK = 1_000_000
 
 # Attributes of a context stop, in order.
-_CONTEXT = ("stop_sequence", "stop_name", "stop_lat", "stop_lon", "arrival_time",
-            "minutes_since_prev_stop", "hour_of_day", "day_of_week", "is_rush_hour",
-            "is_weekend")
+CONTEXT_FIELDS = ("stop_sequence", "stop_name", "stop_lat", "stop_lon", "arrival_time",
+                  "minutes_since_prev_stop", "hour_of_day", "day_of_week", "is_rush_hour",
+                  "is_weekend")
 
 
 def build_raw_stop_times(
@@ -29,12 +29,15 @@ def build_raw_stop_times(
     The layout of the result is given, the way to it is an assumption: observations
     without a known trip are left out, those without a known stop keep NULL attributes.
     ``trips`` has one row per ``trip_uid``, ``stops`` one per ``stop_id``. The join method
-    is Spark's choice; it splits a hot trip or stop at run time.
+    is Spark's choice; it splits a hot trip or stop at run time. Observations without a stop id
+    get a made-up key each, which finds nothing, so that they do not meet in one task.
     """
+    nobody = F.concat_ws("-", F.lit("\0"), F.xxhash64("trip_uid", "arrival_time").cast("string"))
+    found = stops.select(F.col("stop_id").alias("_key"), "stop_name", "stop_lat", "stop_lon")
     joined = (sensor_data.join(trips.select("trip_uid", "start_time_dts", "route_id", "direction"),
                                "trip_uid")
-                         .join(stops.select("stop_id", "stop_name", "stop_lat", "stop_lon"),
-                               "stop_id", "left"))
+                         .withColumn("_key", F.coalesce("stop_id", nobody))
+                         .join(found, "_key", "left"))
     return joined.select(*[f.name for f in schemas.STOP_TIMES.fields])
 
 
@@ -116,7 +119,7 @@ def context_windows(
     (trip, number); it reads less when targets are rare and the table is bucketed that way.
     """
     rows = prepared.where(F.col("trip_uid").isNotNull())
-    stop = F.struct(*_CONTEXT)
+    stop = F.struct(*CONTEXT_FIELDS)
     if method == "window":
         sliced = with_halo(rows, F.col("stop_sequence") - 1, F.lit(k), slice_rows)
         order = Window.partitionBy("trip_uid", SLICE).orderBy("stop_sequence")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from railstream.operators.samples import CONTEXT_FIELDS
 from railstream.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,19 +80,15 @@ PREPARED = f"""SELECT *, CASE WHEN hour_of_day BETWEEN 7 AND 9 OR hour_of_day BE
     WINDOW w AS (PARTITION BY trip_uid ORDER BY arrival_time NULLS FIRST, stop_id NULLS FIRST)))"""
 
 # Samples with target stop 'purchase', by the band join that defines them.
-SAMPLES = f"""WITH prep AS ({PREPARED}), target AS (SELECT trip_uid, start_time_dts,
+_STEP = ", ".join(f"{c} := s.{c}" for c in CONTEXT_FIELDS)
+SAMPLES = f"""WITH numbered AS ({PREPARED}), arrivals AS (SELECT trip_uid, start_time_dts,
     stop_name AS target_stop_name, arrival_time AS target_arrival_time,
     stop_sequence AS target_sequence, minutes_since_prev_stop AS target_minutes_from_prev,
     hour_of_day, day_of_week, trip_date, is_rush_hour, is_weekend
-  FROM prep WHERE stop_name = 'purchase'),
-samples AS (SELECT * FROM (SELECT t.*, list(struct_pack(
-      stop_sequence := p.stop_sequence, stop_name := p.stop_name, stop_lat := p.stop_lat,
-      stop_lon := p.stop_lon, arrival_time := p.arrival_time,
-      minutes_since_prev_stop := p.minutes_since_prev_stop, hour_of_day := p.hour_of_day,
-      day_of_week := p.day_of_week, is_rush_hour := p.is_rush_hour, is_weekend := p.is_weekend)
-      ORDER BY p.stop_sequence) AS context_stops
-    FROM target t JOIN prep p ON t.trip_uid = p.trip_uid
-      AND p.stop_sequence < t.target_sequence AND p.stop_sequence >= t.target_sequence - 5
+  FROM numbered WHERE stop_name = 'purchase'),
+samples AS (SELECT * FROM (SELECT a.*, list(struct_pack({_STEP}) ORDER BY s.stop_sequence) AS context_stops
+    FROM arrivals a JOIN numbered s ON a.trip_uid = s.trip_uid
+      AND s.stop_sequence < a.target_sequence AND s.stop_sequence >= a.target_sequence - 5
     GROUP BY ALL) WHERE len(context_stops) = 5),
 stats AS (SELECT min(trip_date) AS min_date, max(trip_date) AS max_date,
     date_diff('day', min(trip_date), max(trip_date)) AS total_days FROM samples),
