@@ -4,7 +4,7 @@ A document is the set of its distinct word shingles, in one global order. If set
 have at least a = ceil(p (|x| + |y|) / (1 + p)) tokens in common, and for every l up to a, the first
 |x| - a + l tokens of x and |y| - a + l of y share l tokens. A longer prefix meets more documents but
 asks for more shared tokens. So each document picks its own l: the one with the least estimated
-cost, from the exact lengths of the posting lists of its prefix tokens. A pair uses the larger l of
+cost, from the lengths of the posting lists of its prefix tokens. A pair uses the larger l of
 the two, and its own a: in a group of texts that nearly link, tokens of one text alone fill the
 prefixes, and pairs of them are not even listed.
 
@@ -142,29 +142,37 @@ def _common(n, m, percent: int):
     return F.ceil((n + m) * percent / (100 + percent))
 
 
-def postings(sets: DataFrame, percent: int = PERCENT, levels: int = LEVELS) -> DataFrame:
-    """(token, rep, n, place, entries, leader, l) of the prefix tokens that two sets share at least.
+def postings(sets: DataFrame) -> DataFrame:
+    """(token, rep, n, place, leader) of the prefix tokens that two sets share at least.
 
-    ``place`` is the token's place in the set's order, from 0, ``entries`` its number of sets,
-    ``leader`` its first set, ``l`` the set's choice. The estimate is made for sets of equal size.
+    ``place`` is the token's place in the set's order, from 0, ``leader`` the token's first set.
     """
     flat = sets.select("rep", "n", F.posexplode("prefix").alias("place", "token"))
     token = Window.partitionBy("token")
-    shared = (flat.withColumn("entries", F.count("*").over(token))
-              .withColumn("leader", F.min(F.struct("rep", "n")).over(token))
-              .filter("entries > 1"))
-    own = Window.partitionBy("rep")
+    return (flat.withColumn("entries", F.count("*").over(token))
+            .withColumn("leader", F.min(F.struct("rep", "n")).over(token))
+            .filter("entries > 1").drop("entries"))
+
+
+def chosen(rows: DataFrame, percent: int = PERCENT, levels: int = LEVELS) -> DataFrame:
+    """Add ``l``, each set's choice, to posting-list entries (token, rep, n, place, component).
+
+    For each l, a set meets the entries of other components that lie in prefixes of that length,
+    its own and theirs; their number is exact but for the sizes, which are taken as equal. At
+    most one l-th of them are documents met l times. Each costs one, each such document a check.
+    """
+    token, group, own = (Window.partitionBy(*c) for c in (("token",), ("token", "component"), ("rep",)))
     free = F.col("n") - _common(F.col("n"), F.col("n"), percent)
     cost = []
     for level in range(1, levels + 1):
-        inside = F.when(F.col("place") < free + level, F.col("entries") - 1)
-        met = F.coalesce(F.sum(inside).over(own), F.lit(0))
-        # At most met / l documents can be met l times.
+        inside = F.col("place") < free + level
+        rows = rows.withColumn(f"others_{level}", F.count_if(inside).over(token) - F.count_if(inside).over(group))
+        met = F.sum(F.when(inside, F.col(f"others_{level}")).otherwise(0)).over(own)
         estimate = met + met / level * (VERIFY_FIXED + VERIFY_SHINGLE * F.col("n"))
         allowed = F.lit(level) <= F.ceil(F.col("n") * percent / 100)
         cost.append(F.struct(F.when(allowed, estimate).otherwise(float("inf")).alias("cost"),
                              F.lit(level).alias("l")))
-    return shared.withColumn("l", F.least(*cost)["l"])
+    return rows.withColumn("l", F.least(*cost)["l"]).drop(*(f"others_{k}" for k in range(1, levels + 1)))
 
 
 def _shingle_set(text: bytes, words: int) -> frozenset:
@@ -258,15 +266,15 @@ def links_to_leaders(entries: DataFrame, texts: DataFrame, words: int, percent:
 
 
 def links_between(entries: DataFrame, grouped: DataFrame, texts: DataFrame, words: int,
-                  percent: int) -> DataFrame:
+                  percent: int, levels: int) -> DataFrame:
     """All verified links between sets of different components."""
     token = Window.partitionBy("token")
     rows = (entries.join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
             .withColumn("component", F.coalesce("component", "rep"))
             .withColumn("low", F.min("component").over(token))
             .withColumn("high", F.max("component").over(token))
-            .filter("low < high").select("token", "rep", "n", "place", "l", "component"))
-    rows = stored(rows, "mixed-postings")
+            .filter("low < high").select("token", "rep", "n", "place", "component"))
+    rows = stored(chosen(rows, percent, levels), "mixed-postings")
     one, two = (rows.select("token", *(F.col(c).alias(f"{c}_{side}") for c in
                                        ("rep", "n", "place", "l", "component")))
                 for side in ("a", "b"))
@@ -296,12 +304,12 @@ def grouped_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     signed = stored(signatures(docs, frequent, words, percent, levels, id_col, text_col), "signatures")
     sets = stored(signed.filter("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(
         F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")), "sets")
-    entries = stored(postings(sets, percent, levels), "postings")
+    entries = stored(postings(sets), "postings")
     used = entries.select("rep").distinct()
     texts = stored(active_texts(docs, used, id_col, text_col), "texts")
     near = stored(links_to_leaders(entries, texts, words, percent), "leader-links")
     first = components(near)
-    rest = links_between(entries, first, texts, words, percent)
+    rest = links_between(entries, first, texts, words, percent, levels)
     whole = components(near.unionByName(rest))
     groups = stored(sets.select("d1", "d2", F.col("n").alias("size"), "rep")
                     .join(whole.withColumnRenamed("node", "rep"), "rep", "left")

@@ -136,7 +136,8 @@ def test_longer_prefixes_ask_for_more_matches(spark):
     nowhere = {"tokens": np.zeros(0, np.uint64), "counts": np.zeros(0, np.int64)}
     sets = (ngram_join.signatures(rows, nowhere).groupBy("d1", "d2", "n")
             .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")))
-    entries = ngram_join.postings(sets).toPandas()
+    rows = ngram_join.postings(sets).withColumn("component", F.col("rep"))
+    entries = ngram_join.chosen(rows).toPandas()
     assert entries["l"].max() > 1 and entries["l"].min() >= 1
     # Sets that link share l tokens in their l-prefixes, for every l.
     tokens = {rep: part for rep, part in entries.groupby("rep")}
