@@ -166,29 +166,29 @@ def assigned(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
              .withColumn("offset", F.coalesce(F.sum("length").over(ahead), F.lit(0)))
              .select(*kept, "sequence_id", "offset"))
     left = (numbered.filter(F.col("bin") >= F.col("bins")).select(*kept, "all_bins")
-            .groupBy("all_bins").applyInPandas(
+            .groupBy("all_bins").applyInArrow(
                 lambda rows: _first_fit(rows, capacity),
                 "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                 "sequence_id long, offset long"))
     return whole.unionByName(left)
 
 
-def _first_fit(rows, capacity: int):
+def _first_fit(rows: pa.Table, capacity: int) -> pa.Table:
     """Pack the leftovers, long ones first, behind the whole bins. At most k-1 rows of each class."""
-    rows = rows.sort_values(["length", "doc_id", "start"], ascending=[False, True, True])
+    rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+    first = rows["all_bins"][0].as_py()
     used = np.zeros(0, np.int64)
     bins, offsets = [], []
-    for length in rows["length"]:
+    for length in rows["length"].to_pylist():
         free = np.flatnonzero(used + length <= capacity)
         if not len(free):
             used = np.append(used, 0)
             free = [len(used) - 1]
-        bins.append(int(free[0]))
+        bins.append(first + int(free[0]))
         offsets.append(int(used[free[0]]))
         used[free[0]] += length
-    rows["sequence_id"] = rows["all_bins"] + np.array(bins, np.int64)
-    rows["offset"] = np.array(offsets, np.int64)
-    return rows.drop(columns="all_bins")
+    return (rows.drop_columns("all_bins").append_column("sequence_id", pa.array(bins, pa.int64()))
+            .append_column("offset", pa.array(offsets, pa.int64())))
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, slack: float = SLACK,

@@ -20,6 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -318,7 +319,7 @@ def redacted(docs: DataFrame, text_col: str = "text", limit: int = EXPANDED_BYTE
                      for _, data, text, _, every, _ in _scanned(batch, texts, limit)]
             new = pa.array(clean, pa.binary()).cast(pa.string())
             missing = batch.column("text").is_null()
-            new = pa.compute.if_else(missing, pa.scalar(None, pa.string()), new)
+            new = pc.if_else(missing, pa.scalar(None, pa.string()), new)
             yield pa.RecordBatch.from_arrays([batch.column("row"), new], ["row", "text"])
 
     cols = docs.columns

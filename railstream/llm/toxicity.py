@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame
@@ -204,7 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = (texts.filter("text is not null").join(F.broadcast(drawn), "id")
              .select("id", "text", "toxic").toArrow().sort_by("id"))
-    sides = [found.filter(pa.compute.equal(found["toxic"], side))["text"] for side in (1, 0)]
+    sides = [found.filter(pc.equal(found["toxic"], side))["text"] for side in (1, 0)]
     return fit(*(_plain(side.cast(pa.large_binary())) for side in sides))
 
 
