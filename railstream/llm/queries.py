@@ -97,7 +97,7 @@ def adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op8_viterbi_counts")
 def viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.counted(table(spark, sf_dir, "documents"))
+    return token_counts.counted(table(spark, sf_dir, "documents"), whole=True)
 
 
 @_register("op9_harmonic_packing")

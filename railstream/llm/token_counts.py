@@ -5,11 +5,15 @@ carries the best score up to each character and the number of pieces on the way;
 Ties go as in the tokenizer: a candidate replaces the best only if its score is higher, and pieces
 that begin earlier come first. Characters without a piece of their own count as their UTF-8 bytes.
 
-White space ends a word, so each distinct word is searched once in a worker, and counts are added.
+A whole text is counted as the tokenizer normalises it: one space mark before it and one for each
+space; other white space stays and has pieces or bytes of its own. Where no piece of the vocabulary
+reaches over the border, a text is cut before spaces and around tabs and line ends; each distinct
+span is searched once in a worker, and counts are added. Words alone can be counted instead.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -24,6 +28,11 @@ SPACE_MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHED_WORDS = 300_000
 
+# A carriage return is no border: pieces of program text end in it.
+_SPAN = re.compile(rb"[\t-\x0c]+| +[^ \t-\x0c]*|[^ \t-\x0c]+")
+# A piece that would reach over the border of two spans.
+_CROSSING = re.compile(rf"[^{SPACE_MARK}]{SPACE_MARK}|.[\t-\x0c]|[\t-\x0c].", re.DOTALL)
+
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
     """Pieces and scores of a sentencepiece model file, in the order of their ids."""
@@ -33,9 +42,11 @@ def vocabulary(path: str) -> list[tuple[str, float]]:
 
 
 class Counter:
-    """Counts the pieces of words under one vocabulary."""
+    """Counts the pieces of words, or of the spans of whole texts, under one vocabulary."""
 
-    def __init__(self, pieces: list[tuple[str, float]]) -> None:
+    def __init__(self, pieces: list[tuple[str, float]], whole: bool = False) -> None:
+        self.one = self.span if whole else self.word
+        self.cuts = not any(_CROSSING.search(piece) for piece, _ in pieces)
         self.automaton = ahocorasick.Automaton()
         for piece, score in pieces:
             if piece:
@@ -74,10 +85,22 @@ class Counter:
         first = [SPACE_MARK + units[0]] if units[0] else []
         return sum(map(self.unit, first + [SPACE_MARK + u for u in units[1:]]))
 
+    def spans(self, text: bytes) -> list[bytes]:
+        """A whole text, a space before it, in spans that no piece reaches over."""
+        if not text:
+            return []
+        # A space mark in the text is a space to the tokenizer.
+        text = b" " + text.replace(SPACE_MARK.encode("utf-8"), b" ")
+        return _SPAN.findall(text) if self.cuts else [text]
+
+    def span(self, span: bytes) -> int:
+        """Pieces of one span, every space of it a space mark."""
+        return self.unit(span.decode("utf-8").replace(" ", SPACE_MARK))
+
     def texts(self, texts: list[list[bytes]]) -> list[int]:
-        """Pieces of each text, given its words."""
+        """Pieces of each text, given its words or spans."""
         known = self.known
-        new = {w: self.word(w) for w in set().union(*texts).difference(known)}
+        new = {w: self.one(w) for w in set().union(*texts).difference(known)}
         if len(known) < CACHED_WORDS:
             known.update(new)
             new = {}
@@ -85,27 +108,31 @@ class Counter:
                 else sum(map(known.__getitem__, words)) for words in texts]
 
 
-_LOADED: dict[str, Counter] = {}
+_LOADED: dict[tuple[str, bool], Counter] = {}
 
 
 def counted(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_tokens of each row's whole text.
+            text_col: str = "text", whole: bool = False) -> DataFrame:
+    """doc_id, n_words, n_tokens of each row's text.
 
-    A missing or empty text has none of both. Repeated rows each have a row; an empty table gives
+    With ``whole``, all of the text is counted, white space too; without, its words alone, each
+    with a space mark before it. A missing or empty text has none of both. Repeated rows each have a row; an empty table gives
     no rows. Other columns are not read. ``path`` names a sentencepiece model file that every
     worker can open; its pieces and scores are the unigram vocabulary.
     """
     path = path or tokenizer_path("piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _LOADED:
-            _LOADED[path] = Counter(vocabulary(path))
+        if (path, whole) not in _LOADED:
+            _LOADED[path, whole] = Counter(vocabulary(path), whole)
+        counter = _LOADED[path, whole]
         for batch, texts in text_blocks(batches, "text", 1 << 20):
-            words = [t.split() for t in texts.to_pylist()]
+            raw = texts.to_pylist()
+            words = [t.split() for t in raw]
+            parts = [counter.spans(t) for t in raw] if whole else words
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(map(len, words), pa.int64()),
-                 pa.array(_LOADED[path].texts(words), pa.int64())],
+                 pa.array(counter.texts(parts), pa.int64())],
                 ["doc_id", "n_words", "n_tokens"])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -404,6 +404,28 @@ def test_viterbi_counts(docs, nothing):
     assert token_counts.counted(nothing).count() == 0
 
 
+def test_whole_texts_keep_their_white_space(docs, nothing):
+    from tokenizers import Tokenizer, models, normalizers
+    pieces = token_counts.vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    reference = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=True))
+    reference.normalizer = normalizers.Sequence(
+        [normalizers.Prepend("▁"), normalizers.Replace(" ", "▁")])
+    expected = sorted((str(i), len(WORD.findall(t or "")), len(reference.encode(t or "").ids))
+                      for i, t, *_ in awkward())
+    got = token_counts.counted(docs, whole=True).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_tokens) for r in got) == expected
+    counter = token_counts.Counter(pieces, whole=True)
+    assert counter.cuts and counter.texts([counter.spans(b"a b\n\nc")]) == [5]
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abth  е▁<0x4字😀́!1\n\t\r\x0b\xa0") for _ in range(rng.randint(0, 14)))
+             for _ in range(3000)]
+    assert counter.texts([counter.spans(t.encode()) for t in texts]) == [
+        len(reference.encode(t).ids) for t in texts]
+    crossing = token_counts.Counter([*pieces, ("a▁b", -1.0)], whole=True)
+    assert not crossing.cuts and crossing.texts([crossing.spans(b"a b")]) == [2]
+    assert token_counts.counted(nothing, whole=True).count() == 0
+
+
 def test_viterbi_ties():
     from tokenizers import Tokenizer, models
     rng = random.Random(2)
