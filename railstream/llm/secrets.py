@@ -9,8 +9,8 @@ taken up again. Every find is mapped back to the characters of the original text
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
@@ -29,8 +29,15 @@ from railstream.llm.blocks import text_blocks
 from railstream.llm.store import rejoined
 
 KINDS = ("assign", "access", "hex")
-# Bytes that one compressed run may expand to. Beyond it the run is counted as unread, not cut.
+# Bytes of a compressed run that are held at once. A longer run is read in blocks of this size that
+# overlap, and counted in ``unread``, as what is wrapped again across two blocks may be missed.
 EXPANDED_BYTES = 64 << 20
+OVERLAP_BYTES = 1 << 16
+PART_BYTES = 1 << 18
+# Bytes of the shortest find.
+SHORTEST = len("token=") + 6
+# Characters of a text whose finds are mapped one by one.
+MAPPED = 1 << 20
 MASK = "[SECRET]"
 
 _ASSIGN = re.compile(
@@ -44,6 +51,8 @@ _UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 _WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{40,}\r?\n)+[A-Za-z0-9+/]*={0,2}")
 _PART = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+_ASCII = re.compile(rb"[\x00-\x7f]{%d,}" % SHORTEST)
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
 
 
@@ -110,11 +119,17 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     return Layer("".join(text), starts, ends, layer.whole)
 
 
+def _kept_escapes(bad: UnicodeDecodeError) -> tuple[str, int]:
+    return "".join(f"%{b:02X}" for b in bad.object[bad.start:bad.end]), bad.end
+
+
+codecs.register_error("railstream-escapes", _kept_escapes)
+
+
 def _url(found: str) -> str | None:
-    try:
-        return bytes.fromhex(found.replace("%", "")).decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+    """The characters of a run of URL escapes; bytes that are not UTF-8 stay escapes."""
+    text = bytes.fromhex(found.replace("%", "")).decode("utf-8", "railstream-escapes")
+    return None if text == found.upper() else text
 
 
 def _unicode(found: str) -> str | None:
@@ -122,40 +137,83 @@ def _unicode(found: str) -> str | None:
     return None if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code)
 
 
-def _readable(data: bytes) -> str | None:
-    """Text of bytes that are printable UTF-8, else None."""
+def _zstd_end(data: bytes, at: int) -> int:
+    """Where the zstandard frame at ``at`` ends; the end of the data if it is cut short."""
     try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
-
-
-def _expanded(data: bytes, limit: int) -> bytes | None:
-    """What compressed bytes expand to; None if they are none. OverflowError beyond ``limit``."""
+        checked = zstandard.get_frame_parameters(data[at:at + 18]).has_checksum
+        at += zstandard.frame_header_size(data[at:at + 18])
+    except zstandard.ZstdError:
+        return len(data)
+    last = False
+    while not last and at + 3 <= len(data):
+        head = int.from_bytes(data[at:at + 3], "little")
+        last = head & 1
+        at += 3 + (1 if head >> 1 & 3 == 1 else head >> 3)
+    return min(len(data), at + 4 * checked)
+
+
+def _member(data: bytes, at: int) -> Iterator[bytes | int]:
+    """Parts of what the compressed member at ``at`` expands to, then the place where it ends.
+
+    A broken member gives what comes before the break, and no end.
+    """
     try:
-        if data[:2] == b"\x1f\x8b":
-            opened = zlib.decompressobj(31)
-        elif data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-            opened = zlib.decompressobj()
-        elif data[:3] == b"BZh":
-            opened = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            opened = lzma.LZMADecompressor()
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(limit + 1)
-            if len(out) > limit:
-                raise OverflowError
-            return out
+        if data[at:at + 4] == b"\x28\xb5\x2f\xfd":
+            end = _zstd_end(data, at)
+            with zstandard.ZstdDecompressor().stream_reader(data[at:end]) as reader:
+                while part := reader.read(PART_BYTES):
+                    yield part
+            yield end
+        elif data[at:at + 1] in b"\x1f\x78":
+            opened = zlib.decompressobj(47)
+            given = data[at:]
+            while not opened.eof:
+                part = opened.decompress(given, PART_BYTES)
+                given = opened.unconsumed_tail
+                if not part and not given:
+                    break
+                yield part
+            yield len(data) - len(opened.unused_data)
         else:
-            return None
-        out = opened.decompress(data, limit + 1)
+            opened = bz2.BZ2Decompressor() if data[at:at + 1] == b"B" else lzma.LZMADecompressor()
+            part = opened.decompress(data[at:], PART_BYTES)
+            while part:
+                yield part
+                part = b"" if opened.eof or opened.needs_input else opened.decompress(b"", PART_BYTES)
+            yield len(data) - len(opened.unused_data)
     except (zlib.error, OSError, lzma.LZMAError, EOFError, zstandard.ZstdError, ValueError):
-        return None
-    if len(out) > limit:
-        raise OverflowError
-    return out
+        return
+
+
+def _blocks_of(data: bytes, limit: int) -> Iterator[tuple[int, bytes | None]]:
+    """(place, bytes) of all that is compressed in ``data``.
+
+    Members that follow each other are one run, whatever stands before, between and behind runs.
+    A run that expands beyond ``limit`` comes in blocks of that size, which overlap, and once
+    as None.
+    """
+    at = 0
+    while found := _MAGIC.search(data, at):
+        first = at = found.start()
+        held, beyond = bytearray(), False
+        while _MAGIC.match(data, at):
+            end = None
+            for part in _member(data, at):
+                if isinstance(part, int):
+                    end = part
+                    break
+                held += part
+                while len(held) > limit:
+                    if not beyond:
+                        yield first, None
+                    beyond = True
+                    yield first, bytes(held[:limit])
+                    del held[:limit - min(OVERLAP_BYTES, limit // 2)]
+            at = max(at + 1, end or 0)
+            if end is None:
+                break
+        if held:
+            yield first, bytes(held)
 
 
 def _runs(text: str) -> Iterator[tuple[int, int]]:
@@ -170,52 +228,113 @@ def _runs(text: str) -> Iterator[tuple[int, int]]:
             yield run.span()
 
 
-def _decoded(run: str, limit: int) -> str | None:
-    """Text behind one base64 run, through any number of compressed layers, or None."""
+def _decoded(run: str) -> Iterator[tuple[range | np.ndarray, bytes]]:
+    """(places of its characters, bytes) of one base64 run, read from each of its first four.
+
+    What stands before the base64 proper, a path or letters, is a run of other bytes in one of
+    the four. A single character that is left at the end holds no byte.
+    """
     body = "".join(run.split()).rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return None
-    seen = set()
-    while (inner := _expanded(data, limit)) is not None:
-        data = inner
-        digest = hashlib.sha256(data).digest()
-        if digest in seen:
-            return None
-        seen.add(digest)
-    return _readable(data)
+    at = range(len(body))
+    if "\n" in run:
+        at = np.flatnonzero(np.frombuffer(run.encode("ascii"), np.uint8) > 32)[:len(body)]
+    for skip in range(4):
+        part = body[skip:]
+        part = part[:len(part) - (len(part) % 4 == 1)]
+        if part:
+            yield at[skip:], base64.b64decode(part + "=" * (-len(part) % 4))
+
+
+class _Bytes(NamedTuple):
+    """Bytes that a compressed run expands to, and the range of the original text it came from."""
+
+    data: bytes
+    whole: tuple[int, int]
+
+
+def _shifted(layer: Layer, run: str, start: int, end: int, at: range | np.ndarray,
+             data: bytes) -> Iterator[Layer]:
+    """Texts in a run that is read from a later character.
+
+    What comes behind the first sign of a path or sum begins there, anything else with the run; so
+    does all of a very long text. Finds, and all that wraps them, are ASCII.
+    """
+    for found in _ASCII.finditer(data):
+        first, text = found.start(), found[0].decode("ascii")
+        low, high = layer.origin(start, end)
+        border = next((p for p in range(-(-first // 3), found.end() // 3)
+                       if run[at[4 * p] - 1] in "/+-_"), None) if len(text) <= MAPPED else None
+        if border is None:
+            yield Layer(text, None, None, (low, high))
+            continue
+        near, before = layer.origin(start + int(at[4 * border]), end)[0], 3 * border - first
+        yield Layer(text, [low] * before + [near] * (len(text) - before), [high] * len(text),
+                    (low, high))
+
+
+def _unwrapped(layer: Layer, limit: int, unread: list) -> Iterator[Layer | _Bytes | None]:
+    """The layers that one text holds."""
+    yield _replaced(layer, _URL, _url)
+    yield _replaced(layer, _UNICODE, _unicode)
+    for start, end in _runs(layer.text):
+        run = layer.text[start:end]
+        for skip, (at, data) in enumerate(_decoded(run)):
+            if skip:
+                yield from _shifted(layer, run, start, end, at, data)
+            else:
+                yield Layer(data.decode("utf-8", "replace"), None, None, layer.origin(start, end))
+            for place, block in _blocks_of(data, limit):
+                whole = layer.origin(start + int(at[place // 3 * 4]), end)
+                if block is None:
+                    unread.append(whole)
+                else:
+                    yield _Bytes(block, whole)
 
 
 def scan(text: str, limit: int = EXPANDED_BYTES) -> tuple[list[Span], list[Span], int]:
     """Base finds, all finds, and the number of runs that expand beyond ``limit``; both in order."""
+    base, every, unread = scanned(text, limit)
+    return base, every, len(unread)
+
+
+def scanned(text: str, limit: int = EXPANDED_BYTES
+            ) -> tuple[list[Span], list[Span], list[tuple[int, int]]]:
+    """Base finds, all finds, and the ranges of the runs that expand beyond ``limit``.
+
+    Such a run is read to its end in blocks. Only what is wrapped once more inside it, over the
+    border of two blocks, can be missed there.
+    """
     base = sorted(Span(*m) for m in matches(text))
-    found, unread = set(base), 0
-    work = [Layer(text, range(len(text)), range(1, len(text) + 1), (0, len(text)))]
-    seen = {(text, None)}
-    while work:
-        layer = work.pop()
-        made = [_replaced(layer, _URL, _url), _replaced(layer, _UNICODE, _unicode)]
-        for start, end in _runs(layer.text):
-            try:
-                inner = _decoded(layer.text[start:end], limit)
-            except OverflowError:
-                unread += 1
-                continue
-            if inner:
-                made.append(Layer(inner, None, None, layer.origin(start, end)))
-        for new in made:
-            # A text counts as seen for its own range: the same secret elsewhere is another find.
-            key = new and (new.text, new.whole if new.starts is None else None)
-            if new is None or key in seen:
-                continue
-            seen.add(key)
-            work.append(new)
-            for start, kind, end in matches(new.text):
-                first, last = new.origin(start, end)
+    found, unread, seen = set(base), [], set()
+
+    def taken(layer: Layer | _Bytes) -> Iterator[Layer | _Bytes | None]:
+        # A text counts as seen for its own range: the same secret elsewhere is another find.
+        raw = layer.data if isinstance(layer, _Bytes) else layer.text.encode("utf-8", "surrogatepass")
+        key = isinstance(layer, _Bytes), hashlib.blake2b(raw, digest_size=16).digest(), layer.whole
+        if key in seen:
+            return
+        seen.add(key)
+        if isinstance(layer, Layer):
+            for start, kind, end in matches(layer.text):
+                first, last = layer.origin(start, end)
                 found.add(Span(first, kind, last))
+            yield from _unwrapped(layer, limit, unread)
+            return
+        yield Layer(layer.data.decode("utf-8", "replace"), None, None, layer.whole)
+        for _, block in _blocks_of(layer.data, limit):
+            if block is None:
+                unread.append(layer.whole)
+            else:
+                yield _Bytes(block, layer.whole)
+
+    # Layers are made one at a time, deepest first, so that blocks of a long run do not pile up.
+    work = [taken(Layer(text, range(len(text)), range(1, len(text) + 1), (0, len(text))))]
+    while work:
+        new = next(work[-1], work)
+        if new is work:
+            work.pop()
+        elif new is not None:
+            work.append(taken(new))
     return base, sorted(found), unread
 
 
@@ -277,7 +396,7 @@ def _scanned(batch: pa.RecordBatch, texts: pa.LargeBinaryArray, limit: int):
     marked = _suspects(texts, raw)
     for row, data in enumerate(raw):
         text = data.decode("utf-8") if marked[row] else ""
-        yield row, data, text, *(scan(text, limit) if marked[row] else ([], [], 0))
+        yield row, data, text, *(scanned(text, limit) if marked[row] else ([], [], []))
 
 
 def finds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -299,7 +418,7 @@ def finds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for _, _, _, own, all_, missed in _scanned(batch, texts, limit):
                 base.append(rows(own))
                 every.append(rows(all_))
-                unread.append(missed)
+                unread.append(len(missed))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(base, spans), pa.array(every, spans),
                  pa.array(unread, pa.int64())], ["doc_id", "base", "every", "unread"])
@@ -311,7 +430,10 @@ def finds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def redacted(docs: DataFrame, text_col: str = "text", limit: int = EXPANDED_BYTES,
              mask: str = MASK) -> DataFrame:
-    """The rows of ``docs`` with every find masked in the text; a missing text stays missing."""
+    """The rows of ``docs`` with every find masked in the text; a missing text stays missing.
+
+    A run that expands beyond ``limit`` is masked whole.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches, "text"):

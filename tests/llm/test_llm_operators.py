@@ -259,6 +259,48 @@ def test_compressed_layers_cycles_and_bombs():
     assert secrets.masked("x token=abcdefg y", secrets.scan("x token=abcdefg y")[1]) == "x [SECRET] y"
 
 
+def compressors():
+    import bz2
+    import lzma
+
+    import zstandard
+    return gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress
+
+
+def test_layers_that_are_not_plain_ascii_or_not_aligned():
+    for odd in ("\xa0", "\u3000", "\u200b", "\xad", "\ufeff", "\x0c", "\x00"):
+        run = b64(f"le {odd} secret=abcdefgh é")
+        assert [s.text() for s in secrets.scan("q " + run)[1]] == [f"assign:2:{2 + len(run)}"]
+    run = b64(b"\xff\xfe token=abcdefgh \xff")
+    assert [s.text() for s in secrets.scan(run)[1]] == [f"assign:0:{len(run)}"]
+    for data in (b"token=abcdefgh", gzip.compress(b"token=abcdefgh")):
+        run = b64(data)
+        for path in ("https://h.io/v1/", "https://h.io/v12/", "https://h.io/v/a/b/"):
+            assert [s.text() for s in secrets.scan(path + run)[1]] == [
+                f"assign:{len(path)}:{len(path + run)}"], path
+        for letters in ("a", "ab", "abc", "abcd"):
+            found = secrets.scan(letters + run)[1]
+            assert found and found[0].start <= len(letters) and found[0].end == len(letters + run)
+    assert secrets.scan("%FF%74oken%3Dabcdefgh")[1] and secrets.scan("%74oken%3Dabcdefgh%C3")[1]
+
+
+def test_all_members_of_compressed_runs():
+    for pack in compressors():
+        for data in (pack(b"a") + pack(b"token=abcdefgh"), pack(b"tok") + pack(b"en=abcdefgh"),
+                     pack(b"a") + b"??" + pack(b"token=abcdefgh") + b"\0\0"):
+            run = b64(data)
+            assert {s.end for s in secrets.scan(run)[1]} == {len(run)}
+
+
+def test_runs_beyond_the_limit_are_read_and_masked(spark):
+    for pack in compressors():
+        run = b64(pack(b"a b " * 30_000 + b"token=abcdefgh" + b" c d" * 30_000))
+        _, found, unread = secrets.scan("x " + run, limit=5000)
+        assert [s.text() for s in found] == [f"assign:2:{2 + len(run)}"] and unread == 1
+        inner = b64(pack(pack(b"a b " * 30_000 + b"token=abcdefgh")))
+        assert secrets.scan(inner, limit=5000)[1]
+
+
 def test_secret_tables(spark, docs, nothing):
     plain = [r for r in secrets.finds(docs).collect()]
     assert len(plain) == len(awkward()) and not any(r.base for r in plain)
