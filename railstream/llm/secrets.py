@@ -437,8 +437,9 @@ def redacted(docs: DataFrame, text_col: str = "text", limit: int = EXPANDED_BYTE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches, "text"):
-            clean = [masked(text, every, mask).encode("utf-8") if every else data
-                     for _, data, text, _, every, _ in _scanned(batch, texts, limit)]
+            clean = [masked(text, sorted([*every, *(Span(a, 0, b) for a, b in unread)]), mask)
+                     .encode("utf-8") if every or unread else data
+                     for _, data, text, _, every, unread in _scanned(batch, texts, limit)]
             new = pa.array(clean, pa.binary()).cast(pa.string())
             missing = batch.column("text").is_null()
             new = pc.if_else(missing, pa.scalar(None, pa.string()), new)

@@ -299,6 +299,9 @@ def test_runs_beyond_the_limit_are_read_and_masked(spark):
         assert [s.text() for s in found] == [f"assign:2:{2 + len(run)}"] and unread == 1
         inner = b64(pack(pack(b"a b " * 30_000 + b"token=abcdefgh")))
         assert secrets.scan(inner, limit=5000)[1]
+    bomb = b64(gzip.compress(b"a b " * 30_000))
+    frame = spark.createDataFrame([(1, f"x {bomb} y", "en", "a", 1)], DOCS)
+    assert [r.text for r in secrets.redacted(frame, limit=5000).collect()] == ["x [SECRET] y"]
 
 
 def test_secret_tables(spark, docs, nothing):
