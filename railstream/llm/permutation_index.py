@@ -22,6 +22,10 @@ from railstream.llm.store import stored
 
 PIVOTS = 256
 NEAREST_PIVOTS = 128
+# Vectors drawn for one pivot, and the distance, as a share of the longer of two vectors, below
+# which one of them is enough.
+DRAWN_FOR_PIVOT = 8
+NEAR = 0.3
 # Share of a block that is reranked, and the least number; ties in distance come on top.
 RERANKED = 0.08
 RERANKED_LEAST = 256
@@ -54,9 +58,29 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def pivots(vectors: DataFrame, number: int = PIVOTS) -> np.ndarray:
-    """At most ``number`` of the vectors, drawn by a hash of the id."""
-    drawn = vectors.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(number).toArrow()
-    return _matrix(drawn["vector"]) if len(drawn) else np.zeros((0, 1))
+    """At most ``number`` of the vectors, from a bounded sample drawn by a hash of the id."""
+    drawn = (vectors.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(number * DRAWN_FOR_PIVOT)
+             .toArrow())
+    return spread_out(_matrix(drawn["vector"]), number) if len(drawn) else np.zeros((0, 1))
+
+
+def spread_out(vectors: np.ndarray, number: int) -> np.ndarray:
+    """The first ``number`` distinct vectors that do not lie near one before them.
+
+    If there are fewer, the others that lie farthest from all of these come on top.
+    """
+    vectors = vectors[np.sort(np.unique(vectors, axis=0, return_index=True)[1])]
+    norms = np.linalg.norm(vectors, axis=1)
+    apart = np.full(len(vectors), np.inf)
+    chosen: list[int] = []
+    for at in range(len(vectors)):
+        if len(chosen) < number and apart[at] >= NEAR:
+            chosen.append(at)
+            gap = np.linalg.norm(vectors - vectors[at], axis=1) / np.maximum(norms, norms[at])
+            apart = np.minimum(apart, gap)
+    others = np.setdiff1d(np.arange(len(vectors)), chosen)
+    more = others[np.argsort(-apart[others], kind="stable")[:number - len(chosen)]]
+    return vectors[np.sort(np.concatenate([chosen, more]).astype(int))]
 
 
 def permutation(vectors: np.ndarray, centres: np.ndarray, nearest: int) -> np.ndarray:

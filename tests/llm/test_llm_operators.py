@@ -340,6 +340,33 @@ def test_nearest_neighbours(spark):
     assert permutation_index.search(frame.limit(0), query).count() == 0
 
 
+def recall_of(spark, vectors, queries, k=10):
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)],
+                                  "vec_id long, embedding array<double>")
+    got = permutation_index.search(frame, F.col("id").isin(queries), k=k).toPandas()
+    hits = 0
+    for i in queries:
+        scores = vectors @ vectors[i]
+        scores[i] = -np.inf
+        hits += len(set(np.argsort(-scores, kind="stable")[:k]) & set(got[got.query_id == i].vec_id))
+    return hits / (k * len(queries))
+
+
+def clustered(seed, n=6000, width=32):
+    rng = np.random.default_rng(seed)
+    vectors = rng.normal(size=(n // 40, width))[rng.integers(0, n // 40, n)]
+    vectors += 0.6 * rng.normal(size=vectors.shape)
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("noise", [0.0, 0.01])
+def test_recall_beside_a_third_of_copies(spark, noise):
+    vectors = clustered(1)
+    vectors[4000:] = vectors[0] + noise * np.random.default_rng(2).normal(size=(2000, 32))
+    assert len(vectors) <= permutation_index.BLOCK and len(vectors) > 10 * permutation_index.RERANKED_LEAST
+    assert recall_of(spark, vectors, list(range(20, 4000, 40))) >= 0.9
+
+
 def test_equal_vectors_come_by_id(spark):
     rows = [(i, [1.0, 2.0]) for i in range(50)] + [(60, [1.0, 0.0])]
     got = permutation_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"),
