@@ -3,7 +3,7 @@
 A bounded sample of the vectors serves as pivots. Each vector is known by the order of its nearest
 pivots. Vectors are kept in blocks; a block has an inverted file for each pivot that gives every
 vector's place for that pivot. A query reads the files of its own nearest pivots, ranks the block by
-footrule distance, and computes exact inner products for the best share of it only.
+footrule distance and length, and computes exact inner products for the best share of it only.
 
 All vectors are indexed, all queries meet all blocks, and the best of each block are merged. Blocks
 of queries and of vectors have fixed sizes, so no task grows with the tables.
@@ -106,6 +106,21 @@ def footrule(files: np.ndarray, order: np.ndarray) -> np.ndarray:
     return np.maximum(files[order], places).sum(axis=0, dtype=np.uint32)
 
 
+def unrelated(number: int, nearest: int) -> float:
+    """Mean footrule distance of orders that have nothing to do with each other."""
+    places = np.minimum(np.arange(number), nearest)
+    return float(np.maximum(places[:, None], np.arange(nearest)).mean(axis=0).sum())
+
+
+def preference(distance: np.ndarray, norms: np.ndarray, mean: float) -> np.ndarray:
+    """What vectors are ranked by before their exact scores, largest first.
+
+    An order does not change with a vector's length. The part by which a distance falls short of
+    the mean stands for the cosine, so times the length for the inner product.
+    """
+    return (mean - distance) * norms
+
+
 def _blocks(rows: DataFrame, size: int, total: int, centres: np.ndarray, nearest: int,
             label: str) -> DataFrame:
     """(block, ids, vectors, order) with at most about ``size`` rows in a block."""
@@ -142,6 +157,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, number: int = PIVOTS,
     index = _blocks(rows, block, total, centres, nearest, "index")
     asked = _blocks(queries, QUERY_BLOCK, queries.count(), centres, nearest, "queries")
     n_pivots, width = len(centres), centres.shape[1]
+    mean = unrelated(n_pivots, nearest) if n_pivots else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def arrays(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,12 +171,13 @@ def search(vectors: DataFrame, is_query, k: int = 20, number: int = PIVOTS,
                 ids, vecs, orders = arrays(row, "")
                 query_ids, query_vecs, query_orders = arrays(row, "query_")
                 files = inverted_files(orders, n_pivots)
+                norms = np.sqrt((vecs * vecs).sum(axis=1))
                 least = min(len(ids), max(RERANKED_LEAST, k + 1, int(np.ceil(reranked * len(ids)))))
                 out = [], [], []
                 for one, vec, order in zip(query_ids, query_vecs, query_orders):
-                    distance = footrule(files, order)
-                    limit = np.partition(distance, least - 1)[least - 1]
-                    near = np.flatnonzero((distance <= limit) & (ids != one))
+                    liked = preference(footrule(files, order), norms, mean)
+                    limit = np.partition(liked, len(ids) - least)[len(ids) - least]
+                    near = np.flatnonzero((liked >= limit) & (ids != one))
                     # Summed in one order for all rows, so equal vectors have equal scores.
                     score = (vecs[near] * vec).sum(axis=1)
                     # Rows of a block are in the order of their ids: a stable sort settles ties.

@@ -367,6 +367,12 @@ def test_recall_beside_a_third_of_copies(spark, noise):
     assert recall_of(spark, vectors, list(range(20, 4000, 40))) >= 0.9
 
 
+def test_recall_with_unequal_lengths(spark):
+    vectors = clustered(3)
+    vectors *= np.exp(0.5 * np.random.default_rng(4).normal(size=(6000, 1)))
+    assert recall_of(spark, vectors, list(range(0, 6000, 60))) >= 0.9
+
+
 def test_equal_vectors_come_by_id(spark):
     rows = [(i, [1.0, 2.0]) for i in range(50)] + [(60, [1.0, 0.0])]
     got = permutation_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"),
