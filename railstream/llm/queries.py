@@ -14,6 +14,7 @@ from railstream.llm import (
     ngram_join,
     packing,
     permutation_index,
+    piece_table,
     quality,
     secrets,
     sharding,
@@ -110,3 +111,12 @@ def virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard(table(spark, sf_dir, "documents"), shards=40)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                        "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
+@_register("op12_distinct_chunk_pieces")
+def distinct_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = piece_table.encode(table(spark, sf_dir, "documents"), with_text=True)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(ids, 256).alias("ids_sha256"),
+                        F.sha2("text", 256).alias("decoded_sha256"))
