@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from railstream.llm import (
     bpe,
     chat,
+    merkle,
     ngram_join,
     packing,
     permutation_index,
@@ -120,3 +121,12 @@ def distinct_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(ids, 256).alias("ids_sha256"),
                         F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@_register("op13_veb_manifest")
+def veb_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # What a check finds: every other row has lost its newlines.
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found = F.when(tampered, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.checked(merkle.manifest(table(spark, sf_dir, "documents"), found)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
