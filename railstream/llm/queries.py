@@ -14,6 +14,7 @@ from railstream.llm import (
     merkle,
     ngram_join,
     packing,
+    periods,
     permutation_index,
     piece_table,
     quality,
@@ -114,6 +115,40 @@ def virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def _planted(doc_id, text):
+    """Every tenth text, by the checksum of its id, with a periodic end."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = (g % F.greatest(n, F.lit(1))).cast("int")
+        left = n - a
+        p = (F.floor(left / (3 + g % 8)) + 1).cast("int")
+        unit = F.slice(words, a + 1, p)
+        copies = F.flatten(F.array_repeat(unit, F.ceil(left / p).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(copies, F.lit(1), left)), " ")
+
+    words = F.filter(F.split(text, periods.SPACES), lambda w: w != "")
+    # As the value of a lambda the words are split once.
+    return F.when(h % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(text)
+
+
+@_register("op11_tiled_periods")
+def tiled_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periods.runs(docs.select("doc_id", _planted(F.col("doc_id"), F.col("text")).alias("text")))
+    best = periods.longest("runs")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")),
+        F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
 @_register("op12_distinct_chunk_pieces")
 def distinct_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = piece_table.encode(table(spark, sf_dir, "documents"), with_text=True)
