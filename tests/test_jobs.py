@@ -30,7 +30,7 @@ def test_live_feed(spark, tmp_path):
     rejects = jobs.live_table(spark, str(tmp_path / "out"), "reject")
     assert [r["bad_payload"] for r in rejects.collect()] == ["{bad"]
     # Other days are skipped as files, also for the operators that take a date.
-    daily = stations.headway(positions, service_date="2023-11-14")
+    daily = stations.first_arrivals(positions, service_date="2023-11-14")
     line = next(x for x in plan_of(daily).splitlines() if "PartitionFilters" in x)
     assert "service_date" in line and "kind" in line
 
