@@ -5,8 +5,8 @@ newlines stand by themselves. Where no piece of the vocabulary holds a marker af
 character, and none but its byte piece holds a newline, no merge crosses such a border, so each
 distinct marked word is segmented once:
 
-1. Documents are gathered into chunks of bounded text. A chunk keeps, for every position, the
-   number of its marked word, and lists its distinct ones.
+1. Documents are gathered into chunks of bounded text. A chunk lists its distinct marked words and
+   keeps, for every position, the number of its word.
 2. The lists are dealt out by a hash of the word, so that equal words of all chunks meet in one
    bucket, where each is segmented once.
 3. The ids go back to their chunk and replace the numbers position by position.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from railstream.llm.blocks import text_blocks
 from railstream.llm.wordsplit import tokenizer_path
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 16 << 20
 BLOCK_BYTES = 4 << 20
 # Words of a bucket that are segmented at a time.
 HELD_WORDS = 1 << 18
@@ -133,52 +133,72 @@ def _array(lengths: np.ndarray, data: bytes) -> pa.LargeBinaryArray:
         pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-_LISTED = pa.struct([("bucket", pa.int32()), ("listed", pa.binary())])
-_CHUNK = pa.schema([("chunk", pa.int64()), ("docs", pa.list_(pa.int64())), ("payload", pa.binary()),
-                    ("words", pa.list_(_LISTED))])
-_CHUNK_TYPE = ("chunk long, docs array<long>, payload binary, "
-               "words array<struct<bucket: int, listed: binary>>")
-
-
-def _chunk(docs: list[pa.Array], coded: list[pa.DictionaryArray], counts: list[np.ndarray],
-           buckets: int) -> pa.RecordBatch:
-    """One row: document ids, words of each document, number of the word at each position, and
-    the distinct words by bucket."""
-    words = pa.chunked_array(coded).unify_dictionaries()
-    numbers = [np.asarray(part.indices) for part in words.chunks]
-    payload = packed(np.concatenate(counts), np.concatenate(numbers))
-    distinct = words.chunk(0).dictionary
-    bucket = np.fromiter(map(zlib.crc32, distinct.to_pylist()), np.int64, len(distinct)) % buckets
-    order = np.argsort(bucket, kind="stable")
-    lengths, data = _values(distinct.take(pa.array(order)))
-    ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-    bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
-    listed = [{"bucket": int(bucket[order[a]]),
-               "listed": packed(np.diff(order[a:b], prepend=0), lengths[a:b],
-                                tail=data[ends[a]:ends[b]])}
-              for a, b in zip(bounds[:-1], bounds[1:])]
-    ids = pa.concat_arrays(docs)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([xxhash.xxh3_64_intdigest(payload) - (1 << 63)], pa.int64()),
-         pa.ListArray.from_arrays([0, len(ids)], ids), pa.array([payload], pa.binary()),
-         pa.array([listed], pa.list_(_LISTED))], schema=_CHUNK)
-
-
-def _chunks(path: str, limit: int, buckets: int):
+class _Chunk:
+    """Documents of bounded text as word numbers, and their distinct words."""
+
+    def __init__(self) -> None:
+        self.docs, self.coded, self.counts, self.size = [], [], [], 0
+
+    def add(self, docs: pa.Array, texts: pa.LargeBinaryArray, cut: bool) -> None:
+        words, counts = marked_words(texts, cut)
+        self.docs.append(pa.concat_arrays([docs]))
+        self.coded.append(words)
+        self.counts.append(counts)
+        self.size += pc.sum(pc.binary_length(texts)).as_py() or 0
+
+    def close(self) -> None:
+        words = pa.chunked_array(self.coded).unify_dictionaries()
+        self.words = words.chunk(0).dictionary
+        self.numbers = np.concatenate([np.asarray(part.indices) for part in words.chunks])
+        self.ids = pa.concat_arrays(self.docs)
+        counts = np.concatenate(self.counts)
+        digest = xxhash.xxh3_64(np.ascontiguousarray(counts))
+        digest.update(np.ascontiguousarray(self.numbers))
+        digest.update(np.ascontiguousarray(self.ids.fill_null(-1)))
+        self.name = digest.intdigest() - (1 << 63)
+        self.counts = counts
+
+    def positions(self) -> pa.RecordBatch:
+        """One row: document ids, words of each document, number of the word at each position."""
+        return pa.RecordBatch.from_arrays(
+            [pa.array([self.name], pa.int64()), pa.ListArray.from_arrays([0, len(self.ids)], self.ids),
+             pa.array([packed(self.counts, self.numbers)], pa.binary())], ["chunk", "docs", "payload"])
+
+    def listed(self, buckets: int) -> pa.RecordBatch:
+        """The distinct words with their numbers, one row for each bucket."""
+        bucket = np.fromiter(map(zlib.crc32, self.words.to_pylist()), np.int64, len(self.words)) % buckets
+        order = np.argsort(bucket, kind="stable")
+        lengths, data = _values(self.words.take(pa.array(order)))
+        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+        spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([self.name] * len(spans), pa.int64()),
+             pa.array([bucket[order[a]] for a, _ in spans], pa.int32()),
+             pa.array([packed(np.diff(order[a:b], prepend=0), lengths[a:b], tail=data[ends[a]:ends[b]])
+                       for a, b in spans], pa.binary())], ["chunk", "bucket", "listed"])
+
+
+def _chunks(path: str, limit: int, buckets: int | None = None):
+    """The positions of each chunk or, with a number of buckets, its words.
+
+    Both come from a pass of their own over the texts, which costs less than to shuffle the words
+    along with the positions. Chunks are cut alike and named by their content in either pass.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = cuts_at_markers(path)
-        docs, coded, counts, size = [], [], [], 0
+        cut, chunk = cuts_at_markers(path), _Chunk()
+
+        def row() -> pa.RecordBatch:
+            chunk.close()
+            return chunk.listed(buckets) if buckets else chunk.positions()
+
         for batch, texts in text_blocks(batches, "text", min(BLOCK_BYTES, limit)):
-            words, number = marked_words(texts, cut)
-            docs.append(pa.concat_arrays([batch.column("id")]))
-            coded.append(words)
-            counts.append(number)
-            size += pc.sum(pc.binary_length(texts)).as_py() or 0
-            if size >= limit:
-                yield _chunk(docs, coded, counts, buckets)
-                docs, coded, counts, size = [], [], [], 0
-        if docs:
-            yield _chunk(docs, coded, counts, buckets)
+            chunk.add(batch.column("id"), texts, cut)
+            if chunk.size >= limit:
+                yield row()
+                chunk = _Chunk()
+        if chunk.docs:
+            yield row()
     return run
 
 
@@ -303,14 +323,16 @@ def _placed(path: str, schema: pa.Schema):
         # Ids by word number, and the end id as one word more.
         order = np.concatenate([np.argsort(number, kind="stable"), [len(number)]])
         by_number = pa.concat_arrays([*lists, end_id]).take(pa.array(order))
-        sizes = np.asarray(pc.list_value_length(by_number)).astype(np.int64)
+        sizes = np.asarray(pc.list_value_length(by_number))
         out = []
         for docs, payload in zip(chunks["docs"], chunks["payload"]):
             (counts, words), _ = unpacked(payload.as_buffer())
             ends = np.cumsum(counts, dtype=np.int64)
-            words = np.insert(words.astype(np.int64), ends, len(number))
+            if len(number) != (int(words.max()) + 1 if len(words) else 0):
+                raise ValueError("documents differed between two reads; store them first")
+            words = np.insert(words.view("<i4"), ends, len(number))
             bounds = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
-            offsets = np.concatenate([[0], np.cumsum(sizes[words])])[bounds].astype(np.int32)
+            offsets = np.concatenate([[0], np.cumsum(sizes[words], dtype=np.int32)])[bounds].astype(np.int32)
             ids = by_number.take(pa.array(words)).flatten()
             found = pa.ListArray.from_arrays(pa.array(offsets), ids)
             columns = [docs.values, found] + ([_joined(found, pieces)] if pieces is not None else [])
@@ -325,13 +347,14 @@ def encode(docs: DataFrame, path: str | None = None, chunk_bytes: int = CHUNK_BY
 
     ``with_text`` adds the decoded text in the same pass. Rows in, rows out, also with missing or
     repeated ids; a missing or empty text has the end id alone. An empty table gives no rows.
-    Other columns are not read.
+    Other columns are not read. ``docs`` is read twice and must give the same rows in the same order,
+    as a stored table does; what comes from a shuffle is to be stored first.
     """
     path = path or tokenizer_path("piece_bpe_32k.model")
     buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-              .mapInArrow(_chunks(path, chunk_bytes, buckets), _CHUNK_TYPE).repartition("chunk"))
-    coded = (chunks.select("chunk", F.inline("words"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    chunks = rows.mapInArrow(_chunks(path, chunk_bytes), "chunk long, docs array<long>, payload binary")
+    coded = (rows.mapInArrow(_chunks(path, chunk_bytes, buckets), "chunk long, bucket int, listed binary")
              .repartition("bucket").sortWithinPartitions("bucket")
              .mapInArrow(_segments(path), "chunk long, coded binary"))
     kinds = {"doc_id": pa.int64(), "ids": pa.list_(pa.int32())} | ({"text": pa.string()} if with_text else {})
