@@ -1,8 +1,10 @@
 """Quality rules whose cut-offs come from the data.
 
 Each document's measures are taken once. Quantile summaries of them, mergeable across tasks, are
-kept for every language and source; a document fails when a measure lies far outside the middle
-half of its own group. Two rules are fixed: too few words, and too many repeated ones.
+kept for every language and source, in two steps. The quartiles of a group set wide fences, which
+leave out what is junk beyond doubt. The thresholds are then far quantiles of the rest of the group,
+drawn towards those of its language the fewer rows it has, and widened a little. Two rules are
+fixed: too few words, and too many repeated ones.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railstream.llm.blocks import Words, text_blocks
@@ -22,10 +24,18 @@ MAX_REPEATED_PERCENT = 30
 REPEAT_WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 
-# Middle halves that a measure may lie outside of its group's middle half, and the least width
-# that counts as a middle half. Wide fences: a rule is there for junk, not for the tails.
-FENCE = 8.0
-MEASURES = {"symbol_share": 0.03, "duplicate_share": 0.06, "word_length": 0.35, "repeat_share": 0.04}
+# Step 1: middle halves of its group that a measure may lie outside of it, and the least width that
+# counts as a middle half.
+FENCE = 6.0
+LEAST_WIDTH = {"symbol_share": 0.02, "duplicate_share": 0.08, "word_length": 0.25, "repeat_share": 0.05}
+MEASURES = tuple(LEAST_WIDTH)
+# Step 2: the far quantile, the share of its distance from the median that is added, and an
+# allowance for measures that hardly vary.
+FAR = 0.998
+WIDER = 0.25
+ALLOWANCE = {"symbol_share": 0.02, "duplicate_share": 0.02, "word_length": 0.1, "repeat_share": 0.02}
+# Rows for which a group counts as much as its language.
+PRIOR_ROWS = 200
 # Relative rank error of the summaries is the inverse of this.
 ACCURACY = 2000
 
@@ -95,55 +105,119 @@ def measures(docs: DataFrame, text_col: str = "text", groups: tuple[str, ...] =
                     100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))}))
 
 
-def thresholds(measured: DataFrame, fence: float = FENCE, accuracy: int = ACCURACY,
-               n_groups: int = 2) -> DataFrame:
-    """Lowest and highest accepted value of each measure, for each group.
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join in which missing keys are equal; the keys come once."""
+    right = right.withColumnsRenamed({k: f"other_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"other_{k}")) for k in keys]
+    return left.join(right, on, how).drop(*(f"other_{k}" for k in keys))
 
-    Documents that fail a fixed rule do not count. Summaries are built in each task and merged,
-    so a group with most of the rows costs no more than others.
-    """
-    keys = [f"group_{i}" for i in range(n_groups)]
-    quartiles = measured.filter(~F.col("base_failed")).groupBy(*keys).agg(*(
+
+def _inside(m: str) -> Column:
+    return F.coalesce(F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")), F.lit(True))
+
+
+def fences(measured: DataFrame, keys: list[str], fence: float = FENCE,
+           accuracy: int = ACCURACY) -> DataFrame:
+    """Step 1: lowest and highest value of each measure that is not junk beyond doubt, by group."""
+    quartiles = measured.groupBy(*keys).agg(*(
         F.percentile_approx(m, [0.25, 0.75], accuracy).alias(m) for m in MEASURES))
     columns = [F.col(k) for k in keys]
-    for m, least in MEASURES.items():
+    for m, least in LEAST_WIDTH.items():
         low, high = F.col(m)[0], F.col(m)[1]
-        width = F.greatest(high - low, F.lit(least))
-        columns += [(low - fence * width).alias(f"{m}_low"), (high + fence * width).alias(f"{m}_high")]
+        width = fence * F.greatest(high - low, F.lit(least))
+        columns += [(low - width).alias(f"{m}_low"), (high + width).alias(f"{m}_high")]
     return quartiles.select(columns)
 
 
-def _judge(measured: DataFrame, limits: DataFrame, n_groups: int) -> DataFrame:
-    on = [measured[k].eqNullSafe(limits[k]) for k in (f"group_{i}" for i in range(n_groups))]
+def _far(rows: DataFrame, keys: list[str], prefix: str, far: float, accuracy: int) -> DataFrame:
+    """Rows, and low and high threshold of each measure, by group."""
+    found = rows.groupBy(*keys).agg(F.count("*").alias(f"{prefix}rows"), *(
+        F.percentile_approx(m, [1 - far, 0.5, far], accuracy).alias(m) for m in MEASURES))
+    columns = [*keys, f"{prefix}rows"]
+    for m in MEASURES:
+        low, middle, high = (F.col(m)[i] for i in range(3))
+        columns += [(low - WIDER * (middle - low)).alias(f"{prefix}{m}_low"),
+                    (high + WIDER * (high - middle)).alias(f"{prefix}{m}_high")]
+    return found.select(*columns)
+
+
+def thresholds(measured: DataFrame, fence: float = FENCE, far: float = FAR,
+               accuracy: int = ACCURACY, n_groups: int = 2) -> DataFrame:
+    """Lowest and highest accepted value of each measure, for each group.
+
+    ``measured`` is read three times, so it should be a stored table. Documents that fail a fixed
+    rule do not count. Summaries are built in each task and merged, so a group with most of the
+    rows costs no more than others. A group all of whose rows lie outside the fences has none.
+    """
+    keys = [f"group_{i}" for i in range(n_groups)]
+    sound = measured.filter(~F.col("base_failed"))
+    coarse = fences(sound, keys, fence, accuracy)
     inside = F.lit(True)
     for m in MEASURES:
-        inside &= F.coalesce(F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")), F.lit(True))
-    return measured.join(limits, on, "left").withColumn("kept", ~F.col("base_failed") & inside)
+        inside &= _inside(m)
+    rest = _joined(sound, coarse, keys).filter(inside).select(*keys, *MEASURES)
+    own = _far(rest, keys, "", far, accuracy)
+    # The language of a group; with one grouping column, the whole corpus.
+    upper = keys[:-1] or ["whole"]
+    if not keys[:-1]:
+        own, rest = own.withColumn("whole", F.lit(0)), rest.withColumn("whole", F.lit(0))
+    above = _far(rest, upper, "all_", far, accuracy)
+    both = _joined(own, above, upper)
+    weight = F.col("rows") / (F.col("rows") + PRIOR_ROWS)
+    columns = [F.col(k) for k in keys]
+    for m, allowance in ALLOWANCE.items():
+        for side, sign in (("low", -1), ("high", 1)):
+            mixed = weight * F.col(f"{m}_{side}") + (1 - weight) * F.col(f"all_{m}_{side}")
+            columns.append((mixed + sign * allowance).alias(f"{m}_{side}"))
+    return both.select(columns)
 
 
-def judged(docs: DataFrame, fence: float = FENCE, text_col: str = "text",
+def _judge(measured: DataFrame, limits: DataFrame, n_groups: int) -> DataFrame:
+    keys = [f"group_{i}" for i in range(n_groups)]
+    failed = F.filter(F.array(*(F.when(~_inside(m), F.lit(m)) for m in MEASURES)),
+                      lambda m: m.isNotNull())
+    return (_joined(measured, limits, keys, "left")
+            .withColumn("failed", failed)
+            .withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0)))
+
+
+def rejections(found: DataFrame) -> DataFrame:
+    """How many rows each measure rejects of those that pass the fixed rules (``rejected``), how many
+    by itself alone (``alone``), and the range of its thresholds over the groups."""
+    sound = found.filter(~F.col("base_failed"))
+    parts = [F.struct(
+        F.lit(m).alias("measure"),
+        F.count_if(F.array_contains("failed", m)).alias("rejected"),
+        F.count_if(F.array_contains("failed", m) & (F.size("failed") == 1)).alias("alone"),
+        *(f(f"{m}_{side}").alias(f"{name}_{side}") for side in ("low", "high")
+          for name, f in (("least", F.min), ("most", F.max)))) for m in MEASURES]
+    return sound.agg(F.array(*parts).alias("parts")).select(F.inline("parts"))
+
+
+def judged(docs: DataFrame, fence: float = FENCE, far: float = FAR, text_col: str = "text",
            groups: tuple[str, ...] = ("lang", "source"),
            carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``row``, counts, measures, ``base_failed`` and ``kept`` of each row.
+    """``row``, counts, measures, ``base_failed``, ``failed`` (measures beyond a threshold) and
+    ``kept`` of each row.
 
     Missing languages and sources form groups of their own; a missing text has no words and fails.
     Repeated rows are judged alike. A group in which all documents fail a fixed rule has no
     thresholds and needs none. An empty table gives no rows.
     """
     measured = stored(measures(docs, text_col, groups, carry), "measures")
-    limits = stored(thresholds(measured, fence, n_groups=len(groups)), "thresholds")
+    limits = stored(thresholds(measured, fence, far, n_groups=len(groups)), "thresholds")
     return _judge(measured, limits, len(groups))
 
 
-def passing(docs: DataFrame, fence: float = FENCE, text_col: str = "text",
+def passing(docs: DataFrame, fence: float = FENCE, far: float = FAR, text_col: str = "text",
             groups: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """The rows that pass, with the columns of ``docs``.
 
     Texts are measured twice, once for the thresholds and once with their rows, rather than
     joined back by id: ids may be missing or repeated.
     """
-    limits = stored(thresholds(measures(docs, text_col, groups, ()), fence, n_groups=len(groups)),
-                    "thresholds")
+    measured = stored(measures(docs, text_col, groups, ()), "measures")
+    limits = stored(thresholds(measured, fence, far, n_groups=len(groups)), "thresholds")
     others = tuple(c for c in docs.columns if c != text_col)
     rows = measures(docs, text_col, groups, others, with_text=True)
     return (_judge(rows, limits, len(groups)).filter("kept")

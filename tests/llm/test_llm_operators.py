@@ -463,6 +463,38 @@ def test_thresholds_follow_their_group(spark):
     assert not got.pop(999) and all(got.values())
 
 
+def test_thresholds_act_on_every_measure(spark):
+    """Each kind of junk is cut by its own measure, beside a tenth of other junk in the group; a
+    group of other habits keeps them."""
+    rng = random.Random(3)
+
+    def text(seed, repeats):
+        words = prose(seed, 100).split()
+        return "\n".join(" ".join(words[10 * i:10 * i + 10]) for i in range(10)) + "\n" + "\n".join(
+            " ".join(words[:10]) for _ in range(repeats))
+
+    rows = [(i, text(i, 0), "en", "plain", 1) for i in range(400)]
+    rows += [(1000 + i, text(1000 + i, 1 + rng.randrange(2)), "en", "poems", 1) for i in range(400)]
+    rows += [(2000 + i, " ".join(w + "###" for w in prose(2000 + i, 60).split()), "en", "plain", 1)
+             for i in range(40)]
+    rows += [(3000, text(3000, 2), "en", "plain", 1),
+             (3001, " ".join(w * 3 for w in prose(3001, 60).split()), "en", "plain", 1)]
+    found = quality.judged(spark.createDataFrame(rows, DOCS), far=0.99)
+    got = {r.row.doc_id: r for r in found.collect()}
+    assert sum(got[i].kept for i in [*range(400), *range(1000, 1400)]) > 780
+    assert all(got[2000 + i].failed for i in range(40))
+    assert "duplicate_share" in got[3000].failed and "repeat_share" in got[3000].failed
+    assert got[3001].failed == ["word_length"]
+    shown = {r.measure: r for r in quality.rejections(found).collect()}
+    assert set(shown) == set(quality.MEASURES)
+    for m, r in shown.items():
+        failed = [x.failed for x in got.values() if not x.base_failed]
+        assert (r.rejected, r.alone) == (sum(m in f for f in failed), failed.count([m]))
+    assert all(shown[m].most_high > shown[m].least_high + 0.05 for m in ("duplicate_share", "repeat_share"))
+    whole = quality.judged(spark.createDataFrame(rows, DOCS), far=0.99, groups=("source",)).collect()
+    assert abs(sum(r.kept for r in whole) - sum(r.kept for r in got.values())) < 20
+
+
 def test_viterbi_counts(docs, nothing):
     from tokenizers import Regex, Tokenizer, models, pre_tokenizers
     pieces = token_counts.vocabulary(tokenizer_path("piece_bpe_32k.model"))
