@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +23,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from railstream.llm.blocks import text_blocks
+from railstream.llm.periods import Block
 from railstream.llm.store import stored
-from railstream.llm.wordsplit import load_tokenizer, tokenizer_path, words_of
+from railstream.llm.wordsplit import is_plain, load_tokenizer, tokenizer_path, words_of
 
 CAPACITY = 4096
 END_ID = 2
 SLACK = 0.02
 LANES = 256
-# Words whose ids a worker process keeps; later ones are encoded again.
-CACHED_WORDS = 300_000
+# Runs of text whose ids a worker process keeps; later ones are encoded again.
+KEPT_RUNS = 600_000
+# Fixed value: how the pieces that end a word end in the vocabulary.
+WORD_END = "</w>"
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                 "class int, lane int")
@@ -52,60 +56,102 @@ def cut_remainder(length: int, capacity: int, slack: float) -> tuple[int, ...]:
     return tuple(pieces)
 
 
-class WordIds:
-    """Ids of runs of text as little-endian 32-bit numbers; each word goes to the tokenizer once."""
+def _offsets(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def _blobs(ids: np.ndarray, offsets: np.ndarray) -> pa.LargeBinaryArray:
+    """Arrays of ids, cut at ``offsets`` of a flat one, as bytes."""
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(offsets) - 1,
+        [None, pa.py_buffer(4 * offsets), pa.py_buffer(np.ascontiguousarray(ids, "<u4"))])
+
+
+class RunIds:
+    """Ids of runs of text as little-endian 32-bit numbers, with those of many runs at hand."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = load_tokenizer(path)
-        self.runs: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def learn(self, texts: list[list[bytes]]) -> dict[bytes, bytes]:
-        """Ids of every run in ``texts``."""
-        runs, words = self.runs, self.words
-        new = set().union(*texts).difference(runs)
-        if not new:
-            return runs
-        split = {run: words_of(run) for run in new}
-        unknown = sorted({w for parts in split.values() for w in parts if w not in words})
-        fresh = {}
-        encode = self.tokenizer.encode_batch_fast
-        for at in range(0, len(unknown), 4096):
-            part = unknown[at:at + 4096]
-            for word, got in zip(part, encode(part, add_special_tokens=False)):
-                fresh[word] = np.asarray(got.ids, "<u4").tobytes()
-        found = {run: b"".join([words[w] if w in words else fresh[w] for w in parts])
-                 for run, parts in split.items()}
-        if len(words) < CACHED_WORDS:
-            words.update(fresh)
-        if len(runs) < CACHED_WORDS:
-            runs.update(found)
-            return runs
-        # The cache is full: only what the texts at hand need is added, for this call.
-        return _Chain(runs, found)
-
-
-class _Chain(dict):
-    """A full cache and the runs beyond it."""
-
-    def __init__(self, kept: dict, extra: dict) -> None:
-        super().__init__(extra)
-        self.kept = kept
-
-    def __missing__(self, key):
-        return self.kept[key]
-
-
-_LOADED: dict[str, WordIds] = {}
-
-
-def ids_of(path: str) -> WordIds:
+        size = self.tokenizer.get_vocab_size()
+        self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith(WORD_END)
+                                   for i in range(size)])
+        self.places: dict[bytes, int] = {}
+        self.ids = pa.array([], pa.large_binary())
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and id counts of plain words, many in one text; a mark ends each word's ids."""
+        texts = [" ".join(words[at:at + 256]) for at in range(0, len(words), 256)]
+        found = [np.asarray(e.ids, np.int64) for e in
+                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, np.int64), *found])
+        counts = np.diff(np.flatnonzero(self.ends_word[ids]) + 1, prepend=0)
+        if len(counts) != len(words) or counts.sum() != len(ids):
+            return self._alone(words)
+        return ids, counts
+
+    def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int64, counts.sum()), counts
+
+    def _encoded(self, runs: list[bytes]) -> pa.LargeBinaryArray:
+        """Each different word of the runs goes to the tokenizer once."""
+        split = [[run.decode().lower()] if run.isalpha() else words_of(run) for run in runs]
+        words = pa.array(list(chain.from_iterable(split)), pa.string()).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        # Plain words hold no white space and no special token, and are lower-cased already.
+        plain = np.fromiter((is_plain(w) for w in distinct), bool, len(distinct))
+        parts = [self._together(words.dictionary.filter(pa.array(plain)).to_pylist()),
+                 self._alone(words.dictionary.filter(pa.array(~plain)).to_pylist())]
+        by_word = _blobs(*(np.concatenate(x) if i == 0 else _offsets(np.concatenate(x))
+                           for i, x in enumerate(zip(*parts))))
+        place = np.empty(len(distinct), np.int64)
+        place[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(distinct))
+        ids = pa.concat_arrays([by_word.take(pa.array(place)).take(words.indices)])
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[:len(ids) + 1]
+        bounds = _offsets(np.fromiter(map(len, split), np.int64, len(split)))
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(split),
+            [None, pa.py_buffer(np.ascontiguousarray(ends[bounds])), ids.buffers()[2]])
+
+    def of(self, runs: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """Ids of each of some distinct runs. Runs beyond the bound are encoded again next time."""
+        shown = runs.to_pylist()
+        kept = len(self.places)
+        at = np.fromiter((self.places.get(run, -1) for run in shown), np.int64, len(shown))
+        missing = np.flatnonzero(at < 0)
+        if not len(missing):
+            return self.ids.take(pa.array(at))
+        new = [shown[i] for i in missing.tolist()]
+        ids = pa.concat_arrays([self.ids, self._encoded(new)])
+        at[missing] = kept + np.arange(len(new))
+        if kept < KEPT_RUNS:
+            self.places.update(zip(new[:KEPT_RUNS - kept], range(kept, KEPT_RUNS)))
+            self.ids = pa.concat_arrays([ids.slice(0, len(self.places))])
+        return ids.take(pa.array(at))
+
+
+_LOADED: dict[str, RunIds] = {}
+
+
+def ids_of(path: str) -> RunIds:
     """The worker process's own copy for a tokenizer file."""
     if path not in _LOADED:
-        _LOADED[path] = WordIds(path)
+        _LOADED[path] = RunIds(path)
     return _LOADED[path]
 
 
+def encoded(texts: pa.LargeBinaryArray, known: RunIds) -> Iterator[memoryview]:
+    """The ids of each text."""
+    block = Block(texts)
+    runs = block.words()
+    ids = pa.concat_arrays([known.of(runs.dictionary).take(runs.indices)])
+    ends = np.frombuffer(ids.buffers()[1], np.int64)[:len(ids) + 1][block.bounds].tolist()
+    data = memoryview(ids.buffers()[2] or b"")
+    for first, end in zip(ends[:-1], ends[1:]):
+        yield data[first:end]
+
+
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: float = SLACK,
            lanes: int = LANES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokenize each document, add the end id, and cut it; one row for each piece."""
@@ -114,19 +160,18 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: float =
         known = ids_of(path)
         end = np.asarray([END_ID], "<u4").tobytes()
         for batch, texts in text_blocks(batches, "text", 4 << 20):
-            runs = [t.split() for t in texts.to_pylist()]
-            found = known.learn(runs)
             out: list[list] = [[] for _ in range(7)]
-            for row, (doc, parts) in enumerate(zip(batch.column("id").to_pylist(), runs)):
-                ids = b"".join(map(found.__getitem__, parts)) + end
+            for doc, found in zip(batch.column("id").to_pylist(), encoded(texts, known)):
+                ids = b"".join([found, end])
                 total = len(ids) // 4
                 lengths = [capacity] * (total // capacity)
                 lengths += cut_remainder(total % capacity, capacity, slack)
                 start = 0
                 for length in lengths:
                     crc = zlib.crc32(ids[4 * start:4 * (start + length)])
-                    values = (doc, start, length, crc, total, capacity // length,
-                              (crc ^ (start * 2654435761)) % lanes)
+                    # Copies of a text differ in their ids, and so spread over the lanes.
+                    lane = zlib.crc32(b"%d,%d,%d" % (crc, start, -1 if doc is None else doc)) % lanes
+                    values = (doc, start, length, crc, total, capacity // length, lane)
                     for column, value in zip(out, values):
                         column.append(value)
                     start += length

@@ -20,10 +20,15 @@ _PLAIN = regex.compile(r"[\x21-\x7eÀ-ÖØ-öø-įı-ňŊ-ŷ]+")
 _CUT = regex.compile(PATTERN)
 
 
+def is_plain(text: str) -> bool:
+    """Whether a run or word has only letters that are their own normal form, digits and signs."""
+    return "<|" not in text and _PLAIN.fullmatch(text) is not None
+
+
 def words_of(run: bytes) -> list[str]:
     """The words of one run without ASCII white space."""
     text = run.decode("utf-8")
-    if "<|" in text or not _PLAIN.fullmatch(text):
+    if not is_plain(text):
         return [text]
     return _CUT.findall(text.lower())
 
