@@ -68,16 +68,15 @@ class Block:
         self.bounds = np.searchsorted(self.starts, self.offsets)
         self.counts = np.diff(self.bounds)
 
-    def numbers(self) -> np.ndarray:
-        """A number for each word, equal for equal words."""
+    def words(self) -> pa.DictionaryArray:
+        """The words, distinct ones listed once."""
         borders = np.empty(2 * len(self.starts) + 1, np.int64)
         borders[:-1:2], borders[1::2] = self.starts, self.ends
         borders[-1] = len(self.raw)
         words = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), 2 * len(self.starts),
             [None, pa.py_buffer(borders), pa.py_buffer(np.ascontiguousarray(self.raw))])
-        return np.asarray(words.take(pa.array(np.arange(0, 2 * len(self.starts), 2)))
-                          .dictionary_encode().indices)
+        return words.take(pa.array(np.arange(0, 2 * len(self.starts), 2))).dictionary_encode()
 
     def joined(self, kept: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The kept words of each text, joined by one space: all bytes, and the ends of texts."""
@@ -224,7 +223,7 @@ def _exploded(copies: int, with_text: bool):
         row = (context.partitionId() if context else 0) << 40
         for batch, texts in text_blocks(batches, "text", BLOCK_BYTES):
             block = Block(texts)
-            numbers = block.numbers()
+            numbers = np.asarray(block.words().indices)
             waits = np.zeros(len(texts), bool)
             held: list[dict] = []
             size = 0
@@ -322,7 +321,9 @@ def runs(docs: DataFrame, least: int = LEAST, copies: int = COPIES, id_col: str
         .mapInArrow(_exploded(copies, with_text), _FOUND_TYPE), "periods")
     tiles = (parted.where(F.col("octave").isNotNull())
              .select("row", "octave", "start", "first", "last", "most", "words")
-             .repartition("row", "octave", "start"))
+             # Small for the work they take: the count is given, so that they are not coalesced.
+             .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                          "row", "octave", "start"))
     found = stitched(tiles.mapInArrow(_solve, "row long, period long, begin long, end long"),
                      least, copies)
     rest = parted.where(F.col("octave").isNull())
