@@ -37,6 +37,9 @@ COMMON_BYTES = 96 << 10
 CLASS_BYTES = 8 << 10
 # A class word has this many different words before it, and this times the other class's share.
 MIN_CONTEXTS = 6
+# With few texts fewer do, one more for so many texts.
+MIN_FEW_CONTEXTS = 2
+TEXTS_A_CONTEXT = 20
 MIN_RATIO = 8
 # Share of ordinary windows beyond the window threshold.
 WINDOW_TAIL = 0.001
@@ -64,7 +67,8 @@ def _dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, byt
     totals = [max(1, sum(c.values())) for c in counts]
 
     def own(mine: int, other: int) -> bytes:
-        words = [w for w, n in counts[mine].items() if n >= MIN_CONTEXTS
+        least = min(MIN_CONTEXTS, MIN_FEW_CONTEXTS + len((toxic, ordinary)[mine]) // TEXTS_A_CONTEXT)
+        words = [w for w, n in counts[mine].items() if n >= least
                  and n * totals[other] >= MIN_RATIO * (counts[other].get(w, 0) + 1) * totals[mine]]
         words.sort(key=lambda w: (counts[mine][w], w))
         return b" ".join(words)[-CLASS_BYTES:]
@@ -165,12 +169,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 30)
 def fit(toxic: list[bytes], ordinary: list[bytes]) -> Model:
     """Dictionaries from two thirds of the texts; threshold and weights from the other third.
 
-    With fewer than ten texts of a class nothing is learnt and every score is low.
+    The fewer texts, the fewer class words are found; without any, every score is low.
     """
-    if min(len(toxic), len(ordinary)) < 10:
+    contents = _dictionaries([t for i, t in enumerate(toxic) if i % 3],
+                             [t for i, t in enumerate(ordinary) if i % 3])
+    if contents[0] == contents[1]:
         return Model()
-    model = Model(*_dictionaries([t for i, t in enumerate(toxic) if i % 3],
-                                 [t for i, t in enumerate(ordinary) if i % 3]))
+    model = Model(*contents)
     rest = [ordinary[::3], toxic[::3]]
     measured = [model.gains(texts) for texts in rest]
     model.threshold = float(np.quantile(measured[0][0], 1 - WINDOW_TAIL)) if len(measured[0][0]) else 0.0
