@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from railstream import constants, schemas
 from railstream.functions import temporal, text
+from railstream.operators.binary_feed import decode_messages
 
 _BAD = "_bad_payload"
 
@@ -217,26 +218,40 @@ def enrich_with_stops(
     return enriched.select(*[f.name for f in schemas.POSITIONS.fields], *also)
 
 
+def _vehicle_messages(messages: DataFrame, payload: str, form: str) -> DataFrame:
+    """Messages parsed for their vehicles, from JSON text or from protocol buffers."""
+    if form == "protobuf":
+        return decode_messages(messages, payload, vehicles_only=True)
+    if form != "json":
+        raise ValueError("form must be 'json' or 'protobuf'")
+    return parse_messages(messages, payload)
+
+
 def live_positions(
-    messages: DataFrame, lookup: DataFrame, payload: str = "value"
+    messages: DataFrame, lookup: DataFrame, payload: str = "value", *, form: str = "json"
 ) -> DataFrame:
-    """The whole live chain: parse, flatten, keep reports with a status, enrich."""
-    parsed = good_messages(parse_messages(messages, payload))
+    """The whole live chain: parse, flatten, keep reports with a status, enrich.
+
+    Payloads are JSON text or, with ``form="protobuf"``, what the feed itself sends.
+    """
+    parsed = good_messages(_vehicle_messages(messages, payload, form))
     reports = flatten_messages(parsed, vehicles_only=True)
     return enrich_with_stops(vehicle_positions(reports), lookup)
 
 
 def live_rows(
     messages: DataFrame, lookup: DataFrame, payload: str = "value",
-    *, time_zone: str = constants.LOCAL_ZONE
+    *, time_zone: str = constants.LOCAL_ZONE, form: str = "json"
 ) -> DataFrame:
     """The live chain with its rejects: ``kind`` is ``position`` or ``reject``.
 
-    Each payload is parsed once. A reject has its text in ``bad_payload`` and no other field.
+    Each payload is parsed once. A reject has its text in ``bad_payload`` and no other field;
+    for ``form="protobuf"`` that is the payload in base64.
     ``service_date`` is the local date of the report, else of its message, as text; rows with
     neither time have "none".
     """
-    rows = flatten_messages(parse_messages(messages, payload), vehicles_only=True, keep_rejects=True)
+    rows = flatten_messages(_vehicle_messages(messages, payload, form), vehicles_only=True,
+                            keep_rejects=True)
     rejected = F.col("bad_payload").isNotNull()
     enriched = enrich_with_stops(rows.where(rejected | (F.col("current_status") != "")), lookup,
                                  also=["bad_payload"])

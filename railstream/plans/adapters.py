@@ -122,6 +122,55 @@ def messages(events: DataFrame) -> DataFrame:
         F.concat(F.lit("m"), F.col("event_id")).alias("unique_event_id"))).alias("value"))
 
 
+def _once(value: Column, make) -> Column:
+    """``make(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), make)[0]
+
+
+def _number_bytes(number: Column) -> Column:
+    """A whole number below 2^35 in seven bits a byte, the lowest first."""
+    def all_bytes(n: Column) -> Column:
+        def byte(i: int) -> Column:
+            more = F.when(n >= F.lit(1 << 7 * (i + 1)), 128).otherwise(0)
+            text = F.lpad(F.hex(F.shiftright(n, 7 * i).bitwiseAND(127) + more), 2, "0")
+            return F.when((n >= F.lit(1 << 7 * i)) | F.lit(i == 0), text).otherwise("")
+        return F.unhex(F.concat(*[byte(i) for i in range(5)]))
+    return _once(number, all_bytes)
+
+
+def _field(number: int, value: Column, *, of_bytes: bool = True) -> Column:
+    """A field of a protocol buffer; none where the value is NULL."""
+    tag = F.unhex(F.lit(f"{number << 3 | 2 * of_bytes:02X}"))
+
+    def field(v: Column) -> Column:
+        if of_bytes:
+            return F.concat(tag, _number_bytes(F.octet_length(v).cast("bigint")), v)
+        return F.concat(tag, _number_bytes(v))
+
+    found = _once(value.cast("binary" if of_bytes else "bigint"), field)
+    return F.coalesce(found, F.unhex(F.lit("")))
+
+
+def binary_messages(events: DataFrame) -> DataFrame:
+    """The vehicles and trip updates of ``messages`` as protocol buffers. Statuses are those of the
+    format, by event id; every seventh report has none."""
+    second = F.unix_seconds(instant("ts"))
+    trip = F.concat(_field(1, F.col("user_id").cast("string")), _field(5, F.lit("E")))
+    status = F.when(F.col("event_id") % 7 != 0, F.col("event_id") % 3)
+    vehicle = F.concat(_field(1, trip), _field(3, F.col("event_id") % 40, of_bytes=False),
+                       _field(4, status, of_bytes=False), _field(5, second, of_bytes=False),
+                       _field(7, raw_stop_id()))
+    stops = [F.when(F.col("user_id") % 4 >= i, F.concat(_field(1, F.lit(i), of_bytes=False),
+                                                        _field(4, F.lit(f"T{i}")))) for i in (1, 2, 3)]
+    update = F.concat(_field(1, trip), *[_field(2, stop) for stop in stops])
+    header = F.concat(_field(1, F.lit("2.0")),
+                      _field(3, F.floor(second / 30) * 30, of_bytes=False))
+    entities = [F.concat(_field(1, F.concat(F.lit("v"), F.col("event_id"))), _field(4, vehicle)),
+                F.concat(_field(1, F.concat(F.lit("t"), F.col("event_id"))), _field(3, update))]
+    return spread(events).select("event_id", F.concat(
+        _field(1, header), *[_field(2, e) for e in entities]).alias("value"))
+
+
 def update_type() -> str:
     return ("struct<trip: struct<trip_id: string, route_id: string>, "
             "stop_time_update: array<struct<stop_id: string>>>")

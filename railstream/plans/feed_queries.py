@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from railstream.operators import feed
+from railstream.operators import binary_feed, feed
 from railstream.plans import adapters
 from railstream.plans.registry import RAW_STOP_ID, STOPS, query
 from railstream.session import scratch_path
@@ -66,6 +66,54 @@ def flatten_trip_updates(spark, sf_dir):
     return adapters.plain(reports.select("feed_header_timestamp", "entity_id", "trip_id", "stop_id"))
 
 
+# What the feed itself sends: statuses are numbers, every seventh report has none.
+_STATUS = """CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 'INCOMING_AT'
+  WHEN event_id % 3 = 1 THEN 'STOPPED_AT' ELSE 'IN_TRANSIT_TO' END"""
+BINARY_ROWS = (f"SELECT * EXCLUDE (unique_event_id) REPLACE ({_STATUS} AS current_status) "
+               f"FROM (SELECT *, CAST(substr(entity_id, 2) AS BIGINT) AS event_id FROM ({VEHICLE_ROWS}))")
+
+
+@query("flatten_binary_messages", f"""SELECT * EXCLUDE (event_id)
+  REPLACE (CAST(current_stop_sequence AS VARCHAR) AS current_stop_sequence) FROM ({BINARY_ROWS}) UNION ALL
+SELECT to_timestamp(floor(epoch_us(ts) / 1000000 / 30) * 30) AT TIME ZONE 'UTC', 't' || event_id,
+  CAST(user_id AS VARCHAR), NULL, NULL, 'E', 'T' || i, NULL, NULL, NULL
+FROM events, (VALUES (1), (2), (3)) AS v(i) WHERE i <= user_id % 4""")
+def flatten_binary_messages(spark, sf_dir):
+    messages = adapters.binary_messages(adapters.table(spark, sf_dir, "events"))
+    decoded = feed.good_messages(binary_feed.decode_messages(messages))
+    return adapters.plain(feed.flatten_messages(decoded).select(*_FLAT[1:]).withColumn(
+        "current_stop_sequence", F.col("current_stop_sequence").cast("string")))
+
+
+@query("malformed_binary_messages", """SELECT event_id, event_id % 10 = 0 AS rejected FROM events""")
+def malformed_binary_messages(spark, sf_dir):
+    """Every tenth message is cut short."""
+    messages = adapters.binary_messages(adapters.table(spark, sf_dir, "events"))
+    cut = messages.withColumn("value", F.when(
+        F.col("event_id") % 10 == 0, F.expr("substring(value, 1, octet_length(value) - 1)"))
+        .otherwise(F.col("value")))
+    decoded = binary_feed.decode_messages(cut, vehicles_only=True)
+    return decoded.select("event_id", F.col("_bad_payload").isNotNull().alias("rejected"))
+
+
+@query("published_binary_messages", f"""SELECT CAST(epoch_us(ts) // 30000000 * 30 AS VARCHAR)
+    AS header_timestamp, epoch_us(ts) // 30000000 * 30 AS event_timestamp_unix, 2 AS entities,
+  {_STATUS} AS current_status, event_id % 40 AS current_stop_sequence, user_id % 4 AS stops
+FROM events""")
+def published_binary_messages(spark, sf_dir):
+    """Protocol buffers in, JSON with an envelope out, and read again."""
+    messages = adapters.binary_messages(adapters.table(spark, sf_dir, "events"))
+    published = binary_feed.published_json(binary_feed.decode_messages(messages))
+    parsed = feed.good_messages(feed.parse_messages(published))
+    vehicle = F.col("entity")[0]["vehicle"]
+    return parsed.select(
+        F.col("header.timestamp").alias("header_timestamp"), "event_timestamp_unix",
+        F.size("entity").alias("entities"), vehicle["current_status"].alias("current_status"),
+        vehicle["current_stop_sequence"].cast("bigint").alias("current_stop_sequence"),
+        F.coalesce(F.size(F.col("entity")[1]["trip_update"]["stop_time_update"]), F.lit(0))
+         .cast("bigint").alias("stops"))
+
+
 @query("malformed_messages", """SELECT event_id, event_id % 10 = 0 AS rejected, CASE
   WHEN event_id % 10 = 0 THEN left('{"header":{"timestamp":"' || CAST(epoch_us(ts) // 1000000
     AS VARCHAR) || '"},"entity":[{"id":"' || event_id || '"}]}', -1) END AS bad_payload

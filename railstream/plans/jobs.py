@@ -11,13 +11,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from railstream import constants, schemas
-from railstream.operators import feed, samples
+from railstream.operators import binary_feed, feed, samples
 from railstream.session import scratch_path
 from railstream.sources import archives
 from railstream.sources.feed_stream import read_feed_stream
 from railstream.sources.stops import read_stop_lookup, read_stops
 from railstream.sources.tables import replace_table
-from railstream.streaming import streams
+from railstream.streaming import permanent, streams
 
 
 def run_live_feed(
@@ -29,22 +29,49 @@ def run_live_feed(
     *,
     files_per_trigger: int | None = None,
     trigger: Mapping[str, object] | None = None,
+    form: str = "json",
 ) -> StreamingQuery:
     """Landed feed messages -> enriched vehicle positions and rejects, appended to ``target``.
 
-    One write, parted by ``kind`` and local ``service_date``; read it with ``live_table``. A
+    Messages are lines of JSON or, with ``form="protobuf"``, files as fetched from the feed. One write, parted by ``kind`` and local ``service_date``; read it with ``live_table``. A
     message that cannot be parsed is stored as a reject, from the same parse. The stop lookup
     is read when the query starts; a restart refreshes it. ``files_per_trigger`` bounds a batch.
     """
-    messages = read_feed_stream(spark, landing, files_per_trigger=files_per_trigger)
-    live = feed.live_rows(messages, read_stop_lookup(spark, stops_file))
+    messages = _landed(spark, landing, files_per_trigger, form)
+    live = feed.live_rows(messages, read_stop_lookup(spark, stops_file), form=form)
     return streams.append_stream(live, target, checkpoint, trigger=trigger, name="live_positions",
                                  partition_by=["kind", "service_date"])
 
 
-def live_table(spark: SparkSession, target: str, kind: str = "position") -> DataFrame:
-    """Positions (with ``service_date``), or with ``kind="reject"`` the rejected payloads."""
-    rows = spark.read.schema(_LIVE).parquet(target).where(F.col("kind") == kind)
+def _landed(spark: SparkSession, landing: str, files_per_trigger: int | None, form: str) -> DataFrame:
+    source = {"json": "text", "protobuf": "binaryFile"}[form]
+    return read_feed_stream(spark, landing, source=source, files_per_trigger=files_per_trigger,
+                            form=form)
+
+
+def flush_live_feed(spark: SparkSession, target: str, store: str, cut: str) -> DataFrame:
+    """Move what ``run_live_feed`` has appended since the last flush to permanent storage.
+
+    To run every 90 minutes or so, beside the stream, each time with another ``cut``. Returns one
+    row per file that was moved. Rows are stored by kind and service date, sorted by station and
+    time.
+    """
+    return permanent.flush(spark.read.schema(_LIVE).parquet(target), store, cut,
+                           partition_by=["kind", "service_date"],
+                           sort_by=["stop_name", "vehicle_timestamp"])
+
+
+def live_table(
+    spark: SparkSession, target: str, kind: str = "position", *, store: str | None = None
+) -> DataFrame:
+    """Positions (with ``service_date``), or with ``kind="reject"`` the rejected payloads.
+
+    With the ``store`` of ``flush_live_feed``, rows that were moved there are read from it.
+    """
+    rows = spark.read.schema(_LIVE).parquet(target)
+    if store:
+        rows = permanent.read(rows, store)
+    rows = rows.where(F.col("kind") == kind)
     if kind == "reject":
         return rows.select("bad_payload")
     return rows.drop("kind", "bad_payload")
@@ -65,11 +92,18 @@ def run_publish(
     options: Mapping[str, str] | None = None,
     files_per_trigger: int | None = None,
     trigger: Mapping[str, object] | None = None,
+    form: str = "json",
 ) -> StreamingQuery:
-    """Landed raw messages -> messages with an envelope, published to ``sink``."""
-    messages = read_feed_stream(spark, landing, files_per_trigger=files_per_trigger)
-    return streams.publish_messages(feed.enveloped_json(messages.select("value")), target, checkpoint,
-                                    sink=sink, options=options, trigger=trigger)
+    """Landed raw messages -> JSON messages with an envelope, published to ``sink``.
+
+    With ``form="protobuf"`` the landed files are as fetched from the feed; one that is no feed
+    message is left out, and found again with ``binary_feed.decode_messages``.
+    """
+    messages = _landed(spark, landing, files_per_trigger, form).select("value")
+    published = (binary_feed.published_json(binary_feed.decode_messages(messages))
+                 if form == "protobuf" else feed.enveloped_json(messages))
+    return streams.publish_messages(published, target, checkpoint, sink=sink, options=options,
+                                    trigger=trigger)
 
 
 class HistoryLoad(NamedTuple):

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from railstream.operators import feed
 from railstream.plans import adapters
-from railstream.plans.feed_queries import VEHICLE_ROWS, enriched_sql
+from railstream.plans.feed_queries import BINARY_ROWS, VEHICLE_ROWS, enriched_sql
 from railstream.plans.registry import query
 from railstream.session import scratch_path
 from railstream.sources import stops as stop_files
 from railstream.sources.feed_stream import read_feed_stream
-from railstream.streaming import streams
+from railstream.streaming import permanent, streams
 
 _ALL = {"availableNow": True}
 _CLOSING = "closing"
@@ -106,6 +106,38 @@ def stream_live_positions(spark, sf_dir):
     return adapters.plain(_collected(spark, live, "live").select(*_LIVE))
 
 
+@query("stream_binary_positions", f"""SELECT * EXCLUDE (start_time, start_date, event_id)
+FROM ({enriched_sql(BINARY_ROWS)}) WHERE current_status IS NOT NULL""")
+def stream_binary_positions(spark, sf_dir):
+    """The live chain on what the feed itself sends."""
+    messages = adapters.binary_messages(adapters.stream(spark, sf_dir, "events"))
+    lookup = stop_files.stop_lookup(adapters.stops(adapters.table(spark, sf_dir, "supplier")))
+    live = feed.live_positions(messages, lookup, form="protobuf")
+    return adapters.plain(_collected(spark, live, "binary").select(*_LIVE[1:]))
+
+
+@query("stream_flushed_rows", """SELECT event_id, event_type, ts, CAST(ts AS DATE) AS day, 1 AS copies
+FROM events""", dates=("day",))
+def stream_flushed_rows(spark, sf_dir):
+    """A stream's output, flushed to permanent storage between its two runs and after them."""
+    path = scratch_path(spark, "buffer")
+    events = adapters.table(spark, sf_dir, "events")
+    rows = events.select("event_id", "event_type", "ts", F.to_date("ts").alias("day"))
+    half = F.col("event_id") % 2
+    for turn in range(2):
+        rows.where(half == turn).write.mode("append").parquet(f"{path}/landing")
+        live = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+                .parquet(f"{path}/landing"))
+        streams.finish(streams.append_stream(live, f"{path}/rows", f"{path}/checkpoint", trigger=_ALL,
+                                             partition_by=["day"]))
+        buffer = spark.read.schema(rows.schema).parquet(f"{path}/rows")
+        if not turn:
+            permanent.flush(buffer, f"{path}/store", "first", partition_by=["day"],
+                            sort_by=["event_type", "ts"])
+    stored = permanent.read(buffer, f"{path}/store")
+    return stored.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
+
+
 @query("stream_publish_messages", """SELECT CAST(epoch_us(ts) // 1000000 AS VARCHAR) || '-'
   || sha256('{"header":{"timestamp":"' || CAST(epoch_us(ts) // 1000000 AS VARCHAR)
     || '"},"entity":[{"id":"' || event_id || '"}]}') AS unique_event_id,
