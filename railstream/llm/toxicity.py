@@ -36,10 +36,7 @@ STEP = 48
 COMMON_BYTES = 96 << 10
 CLASS_BYTES = 8 << 10
 # A class word has this many different words before it, and this times the other class's share.
-MIN_CONTEXTS = 6
-# With few texts fewer do, one more for so many texts.
-MIN_FEW_CONTEXTS = 2
-TEXTS_A_CONTEXT = 20
+MIN_CONTEXTS = 3
 MIN_RATIO = 8
 # Share of ordinary windows beyond the window threshold.
 WINDOW_TAIL = 0.001
@@ -67,8 +64,7 @@ def _dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, byt
     totals = [max(1, sum(c.values())) for c in counts]
 
     def own(mine: int, other: int) -> bytes:
-        least = min(MIN_CONTEXTS, MIN_FEW_CONTEXTS + len((toxic, ordinary)[mine]) // TEXTS_A_CONTEXT)
-        words = [w for w, n in counts[mine].items() if n >= least
+        words = [w for w, n in counts[mine].items() if n >= MIN_CONTEXTS
                  and n * totals[other] >= MIN_RATIO * (counts[other].get(w, 0) + 1) * totals[mine]]
         words.sort(key=lambda w: (counts[mine][w], w))
         return b" ".join(words)[-CLASS_BYTES:]
@@ -86,8 +82,11 @@ class _Lengths:
 
     def __init__(self, content: bytes) -> None:
         given = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        # The search tree has to hold every place of a dictionary, the class words at its start
+        # too: 2^17 nodes take a chain_log of 18.
         setting = zstandard.ZstdCompressionParameters(
             compression_level=3, strategy=zstandard.STRATEGY_BTLAZY2, min_match=4, window_log=17,
+            chain_log=18, hash_log=17, search_log=4,
             write_content_size=0, write_dict_id=0, write_checksum=0)
         given.precompute_compress(compression_params=setting)
         self.compressor = zstandard.ZstdCompressor(dict_data=given, compression_params=setting)
