@@ -34,14 +34,14 @@ def day_start(day: Column, tz: str = LOCAL_ZONE) -> Column:
     return F.to_utc_timestamp(day.cast("timestamp"), tz)
 
 
-def on_local_day(ts: Column, day: str, tz: str = LOCAL_ZONE) -> Column:
-    """True for instants on the local date ``day`` (``YYYY-MM-DD``).
+def on_local_day(ts: Column, day: str, tz: str = LOCAL_ZONE, *, last: str | None = None) -> Column:
+    """True for instants on the local date ``day`` (``YYYY-MM-DD``), or from it to the date ``last``.
 
     A half-open range over the bare column, so that it reaches the Parquet scan; a
     function around the column would not.
     """
-    first = F.lit(day).cast("date")
-    return (ts >= day_start(first, tz)) & (ts < day_start(F.date_add(first, 1), tz))
+    first, end = (F.lit(d).cast("date") for d in (day, last or day))
+    return (ts >= day_start(first, tz)) & (ts < day_start(F.date_add(end, 1), tz))
 
 
 def repeated_seconds(day: Column, tz: str = LOCAL_ZONE) -> Column:

@@ -60,36 +60,41 @@ def _message(data: bytes, at: int, end: int, kind: str, skipped: frozenset, into
     parts of a message that comes in several are merged."""
     fields = _FIELDS[kind]
     while at < end:
-        key, at = _varint(data, at)
+        # Most numbers fit one byte.
+        key, at = (data[at], at + 1) if data[at] < 0x80 else _varint(data, at)
+        field = fields.get(key >> 3)
         wire = key & 7
-        name, what = fields.get(key >> 3, (None, None))
-        if wire == 0:
-            value, at = _varint(data, at)
-            if what == "number":
-                into[name] = str(value)
-            elif what == "status" and value < len(_STATUS):
-                into[name] = _STATUS[value]
-        elif wire == 2:
-            size, at = _varint(data, at)
+        if wire == 2:
+            size, at = (data[at], at + 1) if data[at] < 0x80 else _varint(data, at)
             upto = at + size
             if upto > end:
                 raise ValueError("a field beyond the end of its message")
-            if what == "text":
-                into[name] = data[at:upto].decode("utf-8", "replace")
-            elif what in _REPEATED:
-                into.setdefault(name, []).append(
-                    _message(data, at, upto, _REPEATED[what], skipped, {}))
-            elif what in _FIELDS:
-                part = into.setdefault(name, {})
-                if what not in skipped:
-                    _message(data, at, upto, what, skipped, part)
+            if field is not None:
+                name, what = field
+                if what == "text":
+                    into[name] = data[at:upto].decode("utf-8", "replace")
+                elif what in _REPEATED:
+                    into.setdefault(name, []).append(
+                        _message(data, at, upto, _REPEATED[what], skipped, {}))
+                elif what in _FIELDS:
+                    part = into.setdefault(name, {})
+                    if what not in skipped:
+                        _message(data, at, upto, what, skipped, part)
             at = upto
+        elif wire == 0:
+            value, at = (data[at], at + 1) if data[at] < 0x80 else _varint(data, at)
+            if field is not None:
+                name, what = field
+                if what == "number":
+                    into[name] = str(value)
+                elif what == "status" and value < len(_STATUS):
+                    into[name] = _STATUS[value]
         elif wire in (1, 5):
             at += 8 if wire == 1 else 4
         else:
             raise ValueError(f"wire type {wire}")
-        if at > end:
-            raise ValueError("a field beyond the end of its message")
+    if at > end:
+        raise ValueError("a field beyond the end of its message")
     return into
 
 

@@ -13,6 +13,8 @@ from railstream.functions.slices import in_blocks, with_previous
 from railstream.session import scratch_path
 from railstream.sources.tables import replace_table
 
+STATION = ("stop_name", "stop_lat", "stop_lon")
+
 
 def idle_time(
     positions: DataFrame,
@@ -37,6 +39,24 @@ def idle_time(
     Identical reports are counted before the shuffle, and a large (station, trip, date) group is
     cut into ``blocks`` of the data (see ``functions.slices``), whatever the cap.
     """
+    parts = idle_parts(positions, STATION, max_gap_s=max_gap_s, repeat_s=repeat_s,
+                       direction=direction, excluded=excluded, tz=tz, compare=compare, blocks=blocks)
+    return idle_report(parts, carry=carry, order_by=order_by)
+
+
+def idle_parts(
+    positions: DataFrame,
+    by: Sequence[str],
+    *,
+    max_gap_s: int = constants.IDLE_MAX_GAP_S,
+    repeat_s: int = constants.IDLE_REPEAT_S,
+    direction: str = constants.IDLE_DIRECTION,
+    excluded: Sequence[str] = constants.IDLE_EXCLUDED,
+    tz: str = constants.LOCAL_ZONE,
+    compare: str = "local",
+    blocks: int | None = None,
+) -> DataFrame:
+    """Number ``n`` and sum ``seconds`` of the gaps that count, by ``STATION`` and also ``trip_date``."""
     if compare not in ("local", "instant"):
         raise ValueError("compare must be 'local' or 'instant'")
     ts = F.col("vehicle_timestamp")
@@ -61,15 +81,18 @@ def idle_time(
     # The first copy of a report has the gap before it, each further copy is a repeat.
     first = F.col("gap") <= max_gap_s
     repeats = F.col("copies") - 1 if repeat_s <= max_gap_s else F.lit(0).cast("bigint")
+    return (gaps.withColumn("n", F.when(first, 1).otherwise(0) + repeats)
+                .withColumn("seconds", F.when(first, F.col("gap")).otherwise(0) + repeats * repeat_s)
+                .groupBy(*by).agg(F.sum("n").alias("n"), F.sum("seconds").alias("seconds"))
+                .where("n > 0"))
+
+
+def idle_report(parts: DataFrame, *, carry: bool = False, order_by: str = "text") -> DataFrame:
+    """``idle_parts`` by station as mean idle times."""
     per_station = (
-        gaps.withColumn("n", F.when(first, 1).otherwise(0) + repeats)
-            .withColumn("seconds", F.when(first, F.col("gap")).otherwise(0) + repeats * repeat_s)
-            .groupBy("stop_name", "stop_lat", "stop_lon")
-            .agg(F.sum("n").alias("n"), F.sum("seconds").alias("seconds"))
-            .where("n > 0")
-            .withColumn("mean_s", F.col("seconds").cast("double") / F.col("n"))
-            .withColumn("avg_idle_time_m_s",
-                        temporal.minutes_seconds(F.col("mean_s"), carry=carry)))
+        parts.withColumn("mean_s", F.col("seconds").cast("double") / F.col("n"))
+             .withColumn("avg_idle_time_m_s",
+                         temporal.minutes_seconds(F.col("mean_s"), carry=carry)))
     ordering = "mean_s" if order_by == "seconds" else "avg_idle_time_m_s"
     return (per_station.orderBy(F.desc(ordering), "stop_name")
                        .select("stop_name", "stop_lat", "stop_lon", "avg_idle_time_m_s"))
@@ -87,6 +110,16 @@ def positions_on_day(
     return positions.where(temporal.on_local_day(F.col("vehicle_timestamp"), service_date, tz))
 
 
+def positions_between(
+    positions: DataFrame, first_date: str, last_date: str, *, tz: str = constants.LOCAL_ZONE
+) -> DataFrame:
+    """Reports of the local dates from ``first_date`` to ``last_date``, both included."""
+    if "service_date" in positions.columns and tz == constants.LOCAL_ZONE:
+        positions = positions.where(F.col("service_date").between(first_date, last_date))
+    return positions.where(
+        temporal.on_local_day(F.col("vehicle_timestamp"), first_date, tz, last=last_date))
+
+
 def first_arrivals(
     positions: DataFrame, *, service_date: str | None = None, tz: str = constants.LOCAL_ZONE
 ) -> DataFrame:
@@ -100,6 +133,42 @@ def first_arrivals(
                      .agg(F.min(ts).alias("trip_arrival_time")))
 
 
+def _weighed(
+    arrivals: DataFrame, *, max_minutes: int, dedupe_ties: bool = False, blocks: int | None = None
+) -> DataFrame:
+    """Instants of arrival that count: sum ``total`` and number ``n`` of their gaps, trips ``named``."""
+    instants = (arrivals.groupBy("stop_name", "event_date", "trip_arrival_time")
+                        .agg(F.count(F.lit(1)).cast("double").alias("k"),
+                             F.count("trip_id").alias("named")))
+    keys, order = ("stop_name", "event_date"), ("trip_arrival_time",)
+    lagged = with_previous(in_blocks(instants, keys, order, blocks=blocks), keys, order)
+    minutes = temporal.whole_units("MINUTE", F.col("trip_arrival_time"), F.col("_previous"))
+    passes = F.col("minutes") <= max_minutes
+    weight = F.lit(1.0) if dedupe_ties else F.col("k")
+    ties = F.lit(0.0) if dedupe_ties or max_minutes < 0 else F.col("k") * (F.col("k") - 1)
+    return (
+        lagged.withColumn("minutes", minutes)
+              .withColumn("n", F.when(passes, weight).otherwise(0.0) + ties)
+              .where("n > 0")
+              .withColumn("total", F.when(passes, F.col("minutes") * weight).otherwise(0.0)))
+
+
+def headway_parts(
+    positions: DataFrame,
+    *,
+    max_minutes: int = constants.HEADWAY_MAX_MINUTES,
+    tz: str = constants.LOCAL_ZONE,
+    dedupe_ties: bool = False,
+    blocks: int | None = None,
+) -> DataFrame:
+    """Number ``n`` and sum ``total`` of the minutes between arrivals, and ``trips`` counted, by
+    station and ``event_date``."""
+    weighed = _weighed(first_arrivals(positions, tz=tz), max_minutes=max_minutes,
+                       dedupe_ties=dedupe_ties, blocks=blocks)
+    return weighed.groupBy("stop_name", "event_date").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("named").alias("trips"))
+
+
 def headway(
     positions: DataFrame,
     *,
@@ -125,20 +194,7 @@ def headway(
     if service_date is None:
         # Used twice.
         arrivals = replace_table(arrivals, scratch_path(positions.sparkSession, "arrivals"), as_path=True)
-    instants = (arrivals.groupBy("stop_name", "event_date", "trip_arrival_time")
-                        .agg(F.count(F.lit(1)).cast("double").alias("k"),
-                             F.count("trip_id").alias("named")))
-    keys, order = ("stop_name", "event_date"), ("trip_arrival_time",)
-    lagged = with_previous(in_blocks(instants, keys, order, blocks=blocks), keys, order)
-    minutes = temporal.whole_units("MINUTE", F.col("trip_arrival_time"), F.col("_previous"))
-    passes = F.col("minutes") <= max_minutes
-    weight = F.lit(1.0) if dedupe_ties else F.col("k")
-    ties = F.lit(0.0) if dedupe_ties or max_minutes < 0 else F.col("k") * (F.col("k") - 1)
-    weighed = (
-        lagged.withColumn("minutes", minutes)
-              .withColumn("n", F.when(passes, weight).otherwise(0.0) + ties)
-              .where("n > 0")
-              .withColumn("total", F.when(passes, F.col("minutes") * weight).otherwise(0.0)))
+    weighed = _weighed(arrivals, max_minutes=max_minutes, dedupe_ties=dedupe_ties, blocks=blocks)
 
     if service_date is not None:
         parts = weighed.select("stop_name", "total", "n", F.col("named").alias("trips"))

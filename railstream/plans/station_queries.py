@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from railstream.operators import stations
-from railstream.plans import adapters
+from railstream.plans import adapters, rollups
 from railstream.plans.registry import POSITIONS, VISITS, nyc, query
+from railstream.session import scratch_path
 
 _HOURLY = POSITIONS.format(ts="date_trunc('hour', ts)")
 _EXACT = POSITIONS.format(ts="ts")
@@ -112,3 +113,44 @@ def positions_on_local_day(spark, sf_dir):
         stations.positions_on_day(events, _DAY)
         .withColumn("local_time", temporal.local_time(events["vehicle_timestamp"]))
         .select("stop_name", "trip_id", "vehicle_timestamp", "local_time"))
+
+
+# The table's days in two refreshes that overlap.
+_HALVES = (("2023-12-31", "2024-01-16"), ("2024-01-15", "2024-01-31"))
+
+
+def _daily(spark, positions, **limits):
+    path = scratch_path(spark, "daily")
+    for first, last in _HALVES:
+        daily = rollups.refresh(positions, path, first, last, **limits)
+    return daily
+
+
+@query("rollup_idle_time", _idle_sql(_HOURLY, 21600))
+def rollup_idle_time(spark, sf_dir):
+    positions = adapters.positions(adapters.table(spark, sf_dir, "events"))
+    return rollups.idle_time(_daily(spark, positions, max_gap_s=21600))
+
+
+@query("rollup_headway", f"""WITH days AS (SELECT h.stop_name, count(minutes) AS n, sum(minutes) AS total,
+    count(DISTINCT (h.event_date, trip_id)) AS trips FROM (
+  WITH {_arrivals_sql(_HOURLY)}, lags AS (SELECT stop_name, event_date, trip_arrival_time AS this_time,
+    lag(trip_arrival_time) OVER w AS previous,
+    date_sub('minute', lag(trip_arrival_time) OVER w, trip_arrival_time) AS minutes
+    FROM arrivals WINDOW w AS (PARTITION BY stop_name, event_date ORDER BY trip_arrival_time))
+  SELECT l.stop_name, l.event_date, a.trip_id, l.minutes FROM lags l JOIN arrivals a
+    ON l.stop_name = a.stop_name AND l.event_date = a.event_date AND l.this_time = a.trip_arrival_time
+  WHERE previous IS NOT NULL AND minutes <= 600) h GROUP BY h.stop_name)
+SELECT stop_name, round(total / n, 2) AS average_min_difference_between_trains, trips AS total_trips
+FROM days""")
+def rollup_headway(spark, sf_dir):
+    positions = adapters.positions(adapters.table(spark, sf_dir, "events"))
+    return rollups.headway(_daily(spark, positions, max_minutes=600))
+
+
+@query("rollup_busiest", f"""WITH {_arrivals_sql(_HOURLY)}
+SELECT stop_name, CAST(count(*) AS BIGINT) AS total_arrivals FROM arrivals
+WHERE dayofweek(event_date) BETWEEN 1 AND 5 GROUP BY stop_name""")
+def rollup_busiest(spark, sf_dir):
+    positions = adapters.positions(adapters.table(spark, sf_dir, "events"))
+    return rollups.busiest(_daily(spark, positions))
