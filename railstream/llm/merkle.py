@@ -32,7 +32,7 @@ ARITY = 3
 HEIGHT = 6
 DIGEST = 32
 
-_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _PATH = "array<struct<place: int, siblings: string>>"
 
 
@@ -184,10 +184,10 @@ def manifest(docs: DataFrame, found_text: Column | None = None, height: int = HE
     source; rows that share source and id are ordered by their leaf, and repeated rows are leaves
     of their own. An empty table has trees without blocks. Other columns are not read.
     """
-    own = leaf_of([F.col(c) for c in _FIELDS])
+    own = leaf_of([F.col(c) for c in FIELDS])
     found = own
     if found_text is not None:
-        other = leaf_of([*(F.col(c) for c in _FIELDS[:-1]), found_text])
+        other = leaf_of([*(F.col(c) for c in FIELDS[:-1]), found_text])
         found = F.when(found_text.eqNullSafe(F.col("text")), F.lit(None)).otherwise(other)
     rows = docs.select(
         # Orders a missing source before any other.

@@ -32,7 +32,7 @@ END_ID = 2
 SLACK = 0.02
 LANES = 256
 # Runs of text whose ids a worker process keeps; later ones are encoded again.
-KEPT_RUNS = 600_000
+KEPT_RUNS = 400_000
 # Fixed value: how the pieces that end a word end in the vocabulary.
 WORD_END = "</w>"
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from railstream.llm import (
     bpe,
     chat,
+    checks,
     merkle,
     ngram_join,
     packing,
@@ -41,6 +42,9 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.grouped_documents(table(spark, sf_dir, "documents"))
 
 
+CHECKS["op1_ngram_jaccard"] = checks.jaccard_sql()
+
+
 @_register("op2_distinct_word_bpe")
 def distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"), with_text=True)
@@ -149,6 +153,9 @@ def tiled_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), "collapsed_sha256")
 
 
+CHECKS["op11_tiled_periods"] = checks.periods_sql()
+
+
 @_register("op12_distinct_chunk_pieces")
 def distinct_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = piece_table.encode(table(spark, sf_dir, "documents"), with_text=True)
@@ -165,3 +172,6 @@ def veb_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.when(tampered, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     return merkle.checked(merkle.manifest(table(spark, sf_dir, "documents"), found)).select(
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+CHECKS["op13_veb_manifest"] = checks.manifest_sql()
