@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from railstream.functions import temporal
 from railstream.operators import stations
 from railstream.plans import adapters, rollups
 from railstream.plans.registry import POSITIONS, VISITS, nyc, query
@@ -106,8 +109,6 @@ def busiest_stations_top10(spark, sf_dir):
   strftime({nyc("vehicle_timestamp")}, '%H:%M:%S.%f') AS local_time FROM ({_EXACT})
 WHERE CAST({nyc("vehicle_timestamp")} AS DATE) = DATE '{_DAY}'""")
 def positions_on_local_day(spark, sf_dir):
-    from railstream.functions import temporal
-
     events = adapters.positions(adapters.table(spark, sf_dir, "events"), hourly=False)
     return adapters.plain(
         stations.positions_on_day(events, _DAY)
@@ -115,14 +116,14 @@ def positions_on_local_day(spark, sf_dir):
         .select("stop_name", "trip_id", "vehicle_timestamp", "local_time"))
 
 
-# The table's days in two refreshes that overlap.
-_HALVES = (("2023-12-31", "2024-01-16"), ("2024-01-15", "2024-01-31"))
-
-
 def _daily(spark, positions, **limits):
+    """Sums of all days, from two refreshes that share a day."""
     path = scratch_path(spark, "daily")
-    for first, last in _HALVES:
-        daily = rollups.refresh(positions, path, first, last, **limits)
+    day = temporal.local_date(F.col("vehicle_timestamp"))
+    first, last = positions.agg(F.min(day), F.max(day)).first()
+    middle = first + (last - first) // 2
+    for dates in ((first, middle), (middle, last)):
+        daily = rollups.refresh(positions, path, *map(str, dates), **limits)
     return daily
 
 
