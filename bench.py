@@ -24,11 +24,11 @@ from railstream.session import configure
 HEADLINE = (
     "idle_time_by_station", "headway_by_station", "headway_default_cap", "headway_on_day",
     "busiest_stations_top10", "positions_on_local_day",
-    "flatten_vehicle_messages", "flatten_trip_updates", "flatten_binary_messages", "enrich_positions",
+    "flatten_vehicle_messages", "flatten_trip_updates", "enrich_positions",
     "prepare_stop_times", "context_windows", "context_windows_join", "context_matrix",
     "split_counts", "train_split_read", "shuffled_samples",
     "monthly_row_counts", "tolerant_csv_load", "archive_expand",
-    "stream_windowed_counts", "stream_live_positions", "stream_binary_positions",
+    "stream_windowed_counts", "stream_live_positions",
     "stream_dedupe_positions", "stream_rejects", "stream_flushed_rows",
 )
 
