@@ -282,6 +282,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for day, line in zip(batch.column("day").to_pylist(), batch.column("line").to_pylist()):
             days.setdefault(day, []).append(line)
         for day, lines in days.items():
+            # The number of the batch's first row tells the archives of a day apart.
+            path = f"raw/{batch.column('row')[0]}/feed_{day}_csv.tar.xz"
             packed = io.BytesIO()
             with tarfile.open(fileobj=packed, mode="w:xz", preset=0) as archive:
                 for name, text in ((f"feed_{day}_stop_times.csv", ["id,kind", *lines]),
@@ -291,13 +293,13 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     member.size = len(body)
                     archive.addfile(member, io.BytesIO(body))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f"raw/feed_{day}_csv.tar.xz"]), pa.array([packed.getvalue()])],
-                schema=_PACKED)
+                [pa.array([path]), pa.array([packed.getvalue()])], schema=_PACKED)
 
 
 def packed_days(events: DataFrame) -> DataFrame:
-    """Events as ``.tar.xz`` archives (``path``, ``content``), one per day and batch of rows."""
+    """Events as ``.tar.xz`` archives (``path``, ``content``), one per day and batch of rows, each
+    under a path of its own."""
     return (spread(events).select(F.date_format("ts", "yyyy-MM-dd").alias("day"),
                           F.concat_ws(",", F.col("event_id").cast("string"), "event_type")
-                           .alias("line"))
+                           .alias("line"), F.monotonically_increasing_id().alias("row"))
             .mapInArrow(_pack, "path string, content binary"))

@@ -40,6 +40,19 @@ def test_query_equals_its_sql(spark, tiny, db, name):
     assert rows_of(ours) == rows_of(theirs)
 
 
+@pytest.mark.parametrize("name", ["archive_status"])
+def test_days_in_several_archives(spark, tiny, db, name):
+    """Small batches split each day over several archives, as larger tables do."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "100")
+    try:
+        ours = driver.queries()[name](spark, tiny).toPandas()
+    finally:
+        spark.conf.set(setting, before)
+    assert rows_of(ours) == rows_of(db.execute(driver.oracle_sql()[name]).df())
+
+
 def test_entry_has_rows(spark):
     assert driver.entry(spark).count() > 0
 
