@@ -40,7 +40,7 @@ def test_query_equals_its_sql(spark, tiny, db, name):
     assert rows_of(ours) == rows_of(theirs)
 
 
-@pytest.mark.parametrize("name", ["archive_status"])
+@pytest.mark.parametrize("name", ["archive_status", "archive_status_tally"])
 def test_days_in_several_archives(spark, tiny, db, name):
     """Small batches split each day over several archives, as larger tables do."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
