@@ -116,32 +116,33 @@ def flatten_messages(
         F.explode(entity).alias("e"), *also)
     also = ["bad_payload"] if keep_rejects else []
     update, vehicle = F.col("e.trip_update"), F.col("e.vehicle")
-
-    def report(trip: Column, stop_id: Column, ts: Column, status: Column, seq: Column) -> Column:
-        names = ("trip_id", "start_time", "start_date", "route_id")
-        return F.struct(*[trip[n].alias(n) for n in names], stop_id.alias("stop_id"),
-                        ts.cast("string").alias("ts"),
-                        status.cast("string").alias("current_status"),
-                        seq.try_cast("bigint").alias("current_stop_sequence"))
-
-    single = report(vehicle["trip"], vehicle["stop_id"], vehicle["timestamp"],
-                    vehicle["current_status"], vehicle["current_stop_sequence"])
-    if vehicles_only:
-        found = single
-    else:
-        none = F.lit(None)
-        per_stop = F.transform(update["stop_time_update"],
-                               lambda u: report(update["trip"], u["stop_id"], none, none, none))
-        reports = F.when(update.isNotNull(), per_stop).when(vehicle.isNotNull(), F.array(single))
+    updated = F.lit(False) if vehicles_only else update.isNotNull()
+
+    def trip(name: str) -> Column:
+        return F.when(updated, update["trip"][name]).otherwise(vehicle["trip"][name])
+
+    def of_vehicle(value: Column) -> Column:
+        return F.when(~updated, value)
+
+    # All fields but the stop before the stops become rows, so that no row carries its entity.
+    flat = [F.col("e.id").alias("entity_id"),
+            *[trip(n).alias(n) for n in ("trip_id", "start_time", "start_date", "route_id")],
+            of_vehicle(vehicle["timestamp"].cast("string")).alias("ts"),
+            of_vehicle(vehicle["current_status"].cast("string")).alias("current_status"),
+            of_vehicle(vehicle["current_stop_sequence"].try_cast("bigint")).alias("current_stop_sequence")]
+    stop = vehicle["stop_id"].alias("stop_id")
+    if not vehicles_only:
+        stops = (F.when(updated, update["stop_time_update"]["stop_id"])
+                 .when(vehicle.isNotNull(), F.array(vehicle["stop_id"])))
         if keep_rejects:
-            reports = F.when(F.col("bad_payload").isNotNull(), F.array(single)).otherwise(reports)
-        found = F.explode(reports)
-    rows = entities.select("unique_event_id", "feed_header_timestamp",
-                           F.col("e.id").alias("entity_id"), found.alias("r"), *also)
-    given = {"vehicle_timestamp": temporal.epoch_text(F.col("r.ts")),
-             **{c: F.col(c) for c in ("unique_event_id", "feed_header_timestamp", "entity_id")},
+            stops = F.when(F.col("bad_payload").isNotNull(), F.array(vehicle["stop_id"])).otherwise(stops)
+        stop = stops.alias("stops")
+    rows = entities.select("unique_event_id", "feed_header_timestamp", *flat, stop, *also)
+    if not vehicles_only:
+        rows = rows.select("*", F.explode("stops").alias("stop_id")).drop("stops")
+    given = {"vehicle_timestamp": temporal.epoch_text(F.col("ts")),
              **{c: F.lit(None) for c in ("stop_name", "stop_lat", "stop_lon", "direction")}}
-    return rows.select(*[given.get(f.name, F.col(f"r.{f.name}")).cast(f.dataType).alias(f.name)
+    return rows.select(*[given.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
                          for f in schemas.POSITIONS.fields], *also)
 
 

@@ -31,6 +31,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
+def spread_finely(df: DataFrame) -> DataFrame:
+    """The same in as many parts as a shuffle has, for narrow rows that become many. Parts of the
+    advised size would be few then, and the last of them leave cores without work."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table as a streaming source, a file to a batch; also fits a table in a single file."""
     schema = table(spark, sf_dir, name).schema
@@ -190,7 +196,7 @@ def trip_messages(lineitem: DataFrame) -> DataFrame:
             F.expr("transform(sequence(1, l_linenumber), "
                    "i -> named_struct('stop_id', concat(l_suppkey, '-', i)))")
              .alias("stop_time_update")).alias("trip_update")))
-    return spread(lineitem).select(F.to_json(F.struct(
+    return spread_finely(lineitem).select(F.to_json(F.struct(
         F.struct(F.unix_seconds(instant("l_shipdate")).cast("string").alias("timestamp"))
          .alias("header"), entity.alias("entity"))).alias("value"))
 

@@ -1,4 +1,5 @@
 import json
+import re
 import time
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from railstream import schemas
 from railstream.functions import temporal, text
 from railstream.operators import feed
+from railstream.plans import adapters
 from railstream.sources import stops as stop_files
 from tests.conftest import plan_of
 
@@ -197,3 +199,34 @@ def test_envelope_without_a_header_takes_the_current_time(spark):
     row = feed.add_envelope(spark.createDataFrame([('{"entity": []}',)], "value string")).first()
     assert before <= row["event_timestamp_unix"] <= int(time.time()) + 1
     assert row["unique_event_id"].startswith(f"{row['event_timestamp_unix']}-")
+
+
+def test_stops_become_rows_without_their_entity(spark):
+    """A row per stop that carried its trip update would grow with the square of the stops."""
+    update = {"trip": {"trip_id": "T"}, "stop_time_update": [{"stop_id": str(i)} for i in range(3)] + [{}]}
+    both = {"id": "b", "trip_update": update, "vehicle": {"stop_id": "V", "timestamp": "1700000000",
+                                                          "current_status": "STOPPED_AT"}}
+    text = json.dumps({"header": {"timestamp": "1700000000"}, "entity": [both]})
+    parsed = feed.parse_messages(spark.createDataFrame([(text,), ("{",)], "value string"))
+    reports = feed.flatten_messages(parsed, keep_rejects=True)
+    found = reports.select("entity_id", "trip_id", "stop_id", "current_status", "vehicle_timestamp", "bad_payload")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [*[("b", "T", s, None, None, None) for s in ("0", "1", "2", None)],
+         (None, None, None, None, None, "{")], key=str)
+    plan = plan_of(feed.flatten_messages(feed.good_messages(parsed)), "simple")
+    assert "lambdafunction" not in plan
+    carried = re.findall(r"explode\(stops#\d+\), \[(.*?)\]", plan)
+    assert carried and not any(re.search(r"\be#", c) for c in carried)
+
+
+def test_trip_messages_are_dealt_finely(spark, tiny):
+    """Narrow rows would meet in a few parts of the advised size."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "32")
+    try:
+        messages = adapters.trip_messages(adapters.table(spark, tiny, "lineitem"))
+        sizes = [r["count"] for r in messages.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set(setting, before)
+    assert len(sizes) == 32 and max(sizes) <= min(sizes) + 32
