@@ -172,7 +172,7 @@ def archive_status_tally(spark, sf_dir):
     own = len("id,kind\n") + len("id\n1\n")
     days = (_day_report(spark, sf_dir).groupBy("service_date", "status")
             .agg((F.sum("bytes") - F.count("*") * F.lit(own)).alias("bytes")))
-    return archives.status_tally(days)
+    return archives.status_tally(days, ["DECOMPRESSED"])
 
 
 @query("archive_day_status", """SELECT CAST(ts AS DATE) AS service_date,

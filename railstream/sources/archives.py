@@ -170,10 +170,17 @@ def skipped_archives(names: DataFrame, present: DataFrame) -> DataFrame:
                     F.lit(None).cast("string").alias("message")))
 
 
-def status_tally(report: DataFrame) -> DataFrame:
-    """Number of items and bytes per status."""
-    return report.groupBy("status").agg(F.count(F.lit(1)).alias("items"),
-                                        F.sum("bytes").alias("bytes"))
+def status_tally(report: DataFrame, statuses: Sequence[str] = ()) -> DataFrame:
+    """Number of items and bytes per status.
+
+    Those of ``statuses`` have a row also without items: their count is 0, their bytes are NULL.
+    """
+    rows = report.select("status", F.lit(1).alias("item"), "bytes")
+    if statuses:
+        rows = rows.unionByName(report.sparkSession.range(1).select(
+            F.explode(F.array(*[F.lit(s) for s in statuses])).alias("status"),
+            F.lit(None).cast("int").alias("item"), F.lit(None).cast("bigint").alias("bytes")))
+    return rows.groupBy("status").agg(F.count("item").alias("items"), F.sum("bytes").alias("bytes"))
 
 
 def write_month_files(expanded: DataFrame, root: str) -> None:

@@ -53,6 +53,17 @@ def test_days_in_several_archives(spark, tiny, db, name):
     assert rows_of(ours) == rows_of(db.execute(driver.oracle_sql()[name]).df())
 
 
+@pytest.mark.parametrize("name", ["archive_status", "archive_status_tally"])
+def test_archives_of_no_events(spark, tiny, tmp_path, name):
+    """The tally has its row also when there is nothing to count."""
+    file = tmp_path / "events.parquet"
+    with duckdb.connect() as nothing:
+        nothing.execute(f"COPY (SELECT * FROM '{tiny}/events.parquet' WHERE false) TO '{file}'")
+        nothing.execute(f"CREATE VIEW events AS SELECT * FROM '{file}'")
+        theirs = nothing.execute(driver.oracle_sql()[name]).fetchall()
+    assert [tuple(r) for r in driver.queries()[name](spark, str(tmp_path)).collect()] == theirs
+
+
 def test_entry_has_rows(spark):
     assert driver.entry(spark).count() > 0
 
